@@ -1,7 +1,19 @@
 """Queries of the corpus operators, and the SQL of those that SQL can express."""
 
 from gleaner.llm.bpe import op9_bpe
+from gleaner.llm.decontaminate import op4_decontaminate
+from gleaner.llm.langid import op10_language_id
+from gleaner.llm.license_scan import op1_license_scan
+from gleaner.llm.simhash import op2_simhash
+from gleaner.llm.token_files import op3_token_files
 
-QUERIES = {"op9_bpe": op9_bpe}
+QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op2_simhash": op2_simhash,
+    "op3_token_files": op3_token_files,
+    "op4_decontaminate": op4_decontaminate,
+    "op9_bpe": op9_bpe,
+    "op10_language_id": op10_language_id,
+}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -21,7 +21,7 @@ rounds of up to ITEM_BYTES of text; each round is a pass over the documents.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import ceil
 
 import numpy as np
@@ -187,47 +187,68 @@ class Lsh:
                     yield doc, item, a - low, b - low, edits
 
 
+def rounds_of(items: DataFrame) -> list[tuple]:
+    """The items (item_id, text) in groups of up to ITEM_BYTES; each group is one pass over the documents."""
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rounds = max(1, ceil(size / ITEM_BYTES))
+    group = F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds))
+    found = [items.select("item_id", "text").where(group == n).collect() for n in range(rounds)]
+    return [tuple(sorted((tuple(r) for r in rows), key=str)) for rows in found]
+
+
+def found_in(index: Lsh, column: pa.Array):
+    """(row, item, first word, past-last word, edits, passage) of every place in a column of texts."""
+    whole, ends = text_buffer(column)
+    for i, j in slices(ends):
+        data, offsets = LOWER[whole[ends[i] : ends[j]]], ends[i : j + 1] - ends[i]
+        words = Words(data, offsets, ALNUM)
+        for doc, item, a, b, edits in index.places(words.hashes, words.first):
+            at = int(words.first[doc])
+            raw = whole[ends[i] + words.starts[at + a] : ends[i] + words.ends[at + b - 1]].tobytes()
+            yield i + doc, item, a, b, edits, raw.decode(errors="replace")
+
+
 def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, item_id, start_word, end_word, edits, similarity and passage of every item's places in the texts.
 
     items: item_id and text.
     """
-    kinds = dict(items.dtypes) | {"id": dict(df.dtypes)[id_col]}
-    schema = f"id {kinds['id']}, item_id {kinds['item_id']}, start_word long, end_word long, edits long, similarity double, passage string"
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    rounds = max(1, ceil(size / ITEM_BYTES))
+    kind = dict(items.dtypes)["item_id"]
+    names = ["id", "item_id", "start_word", "end_word", "edits", "similarity", "passage"]
+    schema = f"id {dict(df.dtypes)[id_col]}, item_id {kind}, start_word long, end_word long, edits long, similarity double, passage string"
+    item_type = {"string": pa.string(), "int": pa.int32()}.get(kind, pa.int64())
 
     def scan(some: tuple) -> DataFrame:
         def run(batches):
             index = lsh(some)
             for batch in batches:
-                whole, ends = text_buffer(batch.column(1))
-                ids, rows = batch.column(0), []
-                for i, j in slices(ends):
-                    data, offsets = LOWER[whole[ends[i] : ends[j]]], ends[i : j + 1] - ends[i]
-                    words = Words(data, offsets, ALNUM)
-                    for doc, item, a, b, edits in index.places(words.hashes, words.first):
-                        at = int(words.first[doc])
-                        raw = whole[ends[i] + words.starts[at + a] : ends[i] + words.ends[at + b - 1]].tobytes()
-                        rows.append((ids[i + doc].as_py(), item.id, a, b, edits, 1 - edits / item.size, raw.decode(errors="replace")))
+                ids = batch.column(0)
+                rows = [
+                    (ids[row].as_py(), item.id, a, b, edits, 1 - edits / item.size, passage)
+                    for row, item, a, b, edits, passage in found_in(index, batch.column(1))
+                ]
                 columns = list(zip(*rows, strict=True)) or [[]] * 7
-                kinds = [ids.type, item_type(some), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                    ["id", "item_id", "start_word", "end_word", "edits", "similarity", "passage"],
-                )
+                kinds = [ids.type, item_type, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
         return df.select(F.col(id_col).alias("id"), text).mapInArrow(run, schema)
 
-    def item_type(some):
-        return pa.array([i for i, _ in some]).type if any(i is not None for i, _ in some) else pa.int64()
+    return reduce(DataFrame.unionByName, map(scan, rounds_of(items)))
+
+
+def decontaminate(df: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of df, with all their columns, whose text holds no item."""
+
+    def clean(df: DataFrame, some: tuple) -> DataFrame:
+        def run(batches):
+            index = lsh(some)
+            for batch in batches:
+                hit = {found[0] for found in found_in(index, batch.column(batch.schema.get_field_index(text)))}
+                yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)], pa.bool_()))
+
+        return df.mapInArrow(run, df.schema)
 
-    out = None
-    for n in range(rounds):
-        some = items.select("item_id", "text").where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == n)
-        found = scan(tuple(sorted((tuple(r) for r in some.collect()), key=str)))
-        out = found if out is None else out.unionByName(found)
-    return out
+    return reduce(clean, rounds_of(items), df)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

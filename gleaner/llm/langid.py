@@ -10,7 +10,7 @@ LANE bytes that each start a phrase.
 Defined results: null text, or text without a letter, gives ``und`` with score 0. With one learned
 language the score is 1 minus its bits a byte over 8. Otherwise it is 1 minus the ratio of the best
 and the second-best cost. Repeated rows are judged alike; an empty table gives no rows; with no
-labelled text at all everything is ``und``. Columns called lang_pred or score are replaced.
+labelled text at all everything is ``und``. Columns called like an output are replaced.
 """
 
 from __future__ import annotations
@@ -174,12 +174,12 @@ def fit_languages(
     return tuple((name, texts[name]) for name in names if texts.get(name, "").strip())
 
 
-def identify(df: DataFrame, model: tuple[tuple[str, str], ...], text: str = "text") -> DataFrame:
-    """Adds lang_pred and score; reads nothing but the text."""
-    stays = [c for c in df.columns if c not in ("lang_pred", "score")]
-    schema = T.StructType(
-        [df.schema[c] for c in stays] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    )
+def identify(
+    df: DataFrame, model: tuple[tuple[str, str], ...], text: str = "text", pred: str = "lang_pred", sure: str = "score"
+) -> DataFrame:
+    """Adds the language (pred) and its score (sure); reads nothing but the text."""
+    stays = [c for c in df.columns if c not in (pred, sure)]
+    schema = T.StructType([df.schema[c] for c in stays] + [T.StructField(pred, T.StringType()), T.StructField(sure, T.DoubleType())])
 
     def run(batches):
         learned = languages(model)

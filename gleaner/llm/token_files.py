@@ -14,11 +14,14 @@ in any order among themselves. An empty table gives an empty folder of files.
 
 from __future__ import annotations
 
+import json
+import unicodedata
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +29,7 @@ from pyspark.sql import types as T
 import public_tokenizers
 
 from gleaner.llm.bpe import WORD_BPE, _ODD_SPACE
-from gleaner.llm.common import documents, fresh_path, parts, slices, text_buffer
+from gleaner.llm.common import SOLID, Words, documents, fresh_path, parts, slices, text_buffer
 
 #: Document stripes of about this many bytes, row indexes every so many rows.
 ORC_OPTIONS = {
@@ -37,8 +40,11 @@ ORC_OPTIONS = {
     "orc.create.index": "true",
     "compression": "zstd",
 }
-#: Chunks that a worker keeps, and the longest kept.
-KEPT_CHUNKS, KEPT_CHARS = 700_000, 48
+#: Words that a worker keeps, and the longest kept.
+KEPT_WORDS, KEPT_CHARS = 1_000_000, 48
+#: Bytes of text handled at once: the longer, the fewer distinct chunks there are to each.
+SLICE = 4 << 20
+_ODD = frozenset(map(chr, range(0x1C, 0x20)))
 
 _TOKENS = T.StructType(
     [
@@ -52,7 +58,12 @@ _TOKENS = T.StructType(
 
 
 class Encoder:
-    """The library's encoding; white space separates chunks that are encoded once and kept."""
+    """The library's encoding; each word is given to it once and kept.
+
+    White space separates chunks and the file's own pattern splits these into words, none of which depends on
+    what stands beside it; an id whose vocabulary string ends a word tells where a word's ids end. Chunks with
+    special tokens or odd white space go to the library whole. Equal chunks of a slice are found by a 64-bit hash.
+    """
 
     def __init__(self, path: str):
         import os
@@ -63,41 +74,74 @@ class Encoder:
         self.library = tokenizers.Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        suffix = spec["model"]["end_of_word_suffix"]
+        vocab = self.library.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for name, i in vocab.items() if name.endswith(suffix)]] = True
+        split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.pieces = regex.compile(split["pattern"]["Regex"]).findall
         self.marks = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.kept: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as 32-bit integers."""
-        kept, split, missing = self.kept, [], set()
-        if len(kept) > KEPT_CHUNKS:
-            kept.clear()
-        for text in texts:
-            try:
-                text.encode("latin-1")
-                text = text.lower()  # as the normaliser does; in this range it changes no boundary
-            except UnicodeEncodeError:
-                pass
-            if _ODD_SPACE.search(text) or any(m in text for m in self.marks):
-                split.append(None)  # the library alone knows these
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
+
+    def words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words, in one call of the library."""
+        if not words:
+            return {}
+        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+        at = np.flatnonzero(self.ends[ids]) + 1
+        if len(at) != len(words):
+            return {w: self.whole(w) for w in words}
+        data, at = ids.tobytes(), (at * 4).tolist()
+        return dict(zip(words, (data[a:b] for a, b in zip([0, *at], at)), strict=True))
+
+    def chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of texts without ASCII white space."""
+        if len(self.kept) > KEPT_WORDS:
+            self.kept.clear()
+        kept = self.kept
+        out, open_, fresh = [], [], set()
+        for n, chunk in enumerate(chunks):
+            # as the normaliser does, to which a final sigma is not special
+            c = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+            if got := kept.get(c):
+                out.append(got)
+                continue
+            out.append(b"")
+            if c.isalpha():
+                words = (c,)
+            elif (w := c[:-1]).isalpha() and not c[-1].isalnum() and c[-1] not in _ODD:
+                words = (w, c[-1])
+            elif "<|" in c or _ODD_SPACE.search(c):
+                out[n] = self.whole(chunk)  # the library alone knows these
                 continue
-            chunks = text.split()
-            missing.update(c for c in chunks if c not in kept)
-            split.append(chunks)
-        fresh = list(missing)
-        for chunk, found in zip(fresh, self.library.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            kept[chunk] = np.array(found.ids, np.int32).tobytes()
-        out = []
-        for text, chunks in zip(texts, split, strict=True):
-            if chunks is None:
-                ids = self.library.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, np.int32).tobytes())
             else:
-                out.append(b"".join([kept[c] for c in chunks]))
-        for chunk in fresh:
-            if len(chunk) > KEPT_CHARS:
-                del kept[chunk]
+                words = self.pieces(c)
+            open_.append((n, words))
+            fresh.update(words)
+        found = self.words([w for w in fresh if w not in kept])
+        kept.update((w, ids) for w, ids in found.items() if len(w) <= KEPT_CHARS)
+        for n, words in open_:
+            out[n] = b"".join([kept.get(w) or found[w] for w in words])
         return out
 
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of consecutive documents, and how many each has."""
+        words = Words(data, offsets, SOLID)
+        _, at, which = np.unique(words.hashes, return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        ids = self.chunks([raw[a:b].decode() for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)])
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        flat, begin = np.frombuffer(b"".join(ids), np.int32), np.cumsum(sizes) - sizes
+        n = sizes[which]
+        before = np.concatenate([[0], np.cumsum(n)])
+        out = flat[np.repeat(begin[which] - before[:-1], n) + np.arange(before[-1])]
+        return out, np.diff(before[words.first])
+
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
@@ -112,21 +156,20 @@ def write_tokens(docs: DataFrame, to: str, path: str | None = None, end_id: int
         from pyspark import TaskContext
 
         coder, part, before = encoder(path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], np.int32).tobytes()
         for batch in batches:
             ids, column = batch.column(0), batch.column(1)
-            _, offsets = text_buffer(column)
-            for i, j in slices(offsets):
-                got = [x + end for x in coder.encode([x or "" for x in column.slice(i, j - i).to_pylist()])]
-                at = np.cumsum([0, *(len(x) // 4 for x in got)])
-                values = pa.array(np.frombuffer(b"".join(got), np.int32))
+            data, ends = text_buffer(column)
+            for i, j in slices(ends, SLICE):
+                got, n = coder.encode(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i])
+                got = np.insert(got, np.cumsum(n), np.int32(end_id))
+                at = np.concatenate([[0], np.cumsum(n + 1)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(i, j - i),
                         pa.array(np.full(j - i, part, np.int32)),
                         pa.array(before + at[:-1]),
-                        pa.array(np.diff(at).astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), values),
+                        pa.array((n + 1).astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(got)),
                     ],
                     _TOKENS.names,
                 )

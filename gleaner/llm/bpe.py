@@ -26,8 +26,8 @@ import public_tokenizers
 from gleaner.llm.common import documents, slices, text_buffer
 
 WORD_BPE = "word_bpe_49k.json"
-#: Chunks that a worker keeps, and the longest kept.
-KEPT_CHUNKS, KEPT_CHARS = 700_000, 48
+#: Chunks and words that a worker keeps, and the longest kept.
+KEPT_CHUNKS, KEPT_WORDS, KEPT_CHARS = 150_000, 350_000, 48
 #: White space of the normaliser's pattern (Unicode White_Space).
 _SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
@@ -103,7 +103,7 @@ class Bpe:
             ids[-1] = self.final[data[-1]]
             got = b"".join(i.to_bytes(4, "little") for i in self.merge(ids))
             if len(piece) <= KEPT_CHARS:
-                if len(self.words) >= KEPT_CHUNKS // 2:
+                if len(self.words) >= KEPT_WORDS:
                     self.words.clear()
                 self.words[piece] = got
         return got

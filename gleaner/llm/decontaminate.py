@@ -90,7 +90,7 @@ class Item:
         return edits, end - length, end
 
 
-@lru_cache(2)
+@lru_cache(1)
 def lsh(items: tuple) -> "Lsh":
     return Lsh(items)
 

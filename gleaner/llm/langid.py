@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from gleaner.llm.common import LOWER, documents, slices, text_buffer
 
 #: Bounds of the labelled sample: documents and characters for each language.
-TRAIN_DOCS, TRAIN_CHARS = 60, 40_000
+TRAIN_DOCS, TRAIN_CHARS = 60, 20_000
 #: Bytes of a piece of text.
 LANE = 512
 _LETTER = regex.compile(r"\p{L}")
@@ -141,7 +141,7 @@ class Languages:
         return out
 
 
-@lru_cache(2)
+@lru_cache(1)
 def languages(texts: tuple[tuple[str, str], ...]) -> Languages:
     return Languages(texts)
 

@@ -31,7 +31,7 @@ from gleaner.llm.graph import components
 SHINGLE, SEED, RADIUS = 4, 42, 4
 PREFIX, HOT = 12, 400_000
 #: Variants made at once in a task.
-AT_ONCE = 3_000_000
+AT_ONCE = 1_000_000
 
 
 def simhash(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:

@@ -53,11 +53,11 @@ def parsed(reply: str | None) -> tuple[str | None, str | None]:
     return found, None
 
 
-@F.pandas_udf("object string, reason string")
-def _parse(replies: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([parsed(r) for r in replies], columns=["object", "reason"])
-
-
 def parse_response(reply: Column | str) -> Column:
     """struct of object (JSON text) and reason; one of them is null."""
-    return _parse(reply)
+
+
+    def run(replies: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([parsed(r) for r in replies], columns=["object", "reason"])
+
+    return F.pandas_udf(run, "object string, reason string")(reply)

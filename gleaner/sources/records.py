@@ -49,7 +49,7 @@ def append_records(df: DataFrame, path: str) -> None:
 
 def document(df: DataFrame) -> str:
     """A small report as an indented JSON document."""
-    rows = [json.loads(r[0]) for r in df.select(F.to_json(F.struct("*"))).collect()]
+    rows = [json.loads(r[0]) for r in df.select(F.to_json(F.struct(*df.columns))).collect()]
     return json.dumps(rows[0] if len(rows) == 1 else rows, indent=2, ensure_ascii=False)
 
 

@@ -294,7 +294,7 @@ def test_records(spark, tmp_path):
     append_records(spark.range(3), str(tmp_path / "votes"))
     assert spark.read.parquet(str(tmp_path / "votes")).count() == 5
     assert json.loads(document(spark.range(1))) == {"id": 0}
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(Exception, match="none.jsonl"):
         discovered(spark, str(tmp_path), "none.jsonl")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm.bpe import bpe_encode
-from gleaner.llm.common import documents, fresh_path
+from gleaner.llm.common import documents, fresh_path, unused
 from gleaner.llm.decontaminate import decontaminate
 from gleaner.llm.langid import identify, learned_languages
 from gleaner.llm.secret_scan import redact
@@ -21,8 +21,9 @@ from gleaner.llm.simhash import near_duplicates
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told."""
-    told = identify(docs, learned_languages(docs), pred="_lang_pred", sure="_lang_score")
-    return told.where("_lang_pred <> 'und'").select(docs.columns)
+    pred, sure = unused(docs, "_lang_pred"), unused(docs, "_lang_score")
+    told = identify(docs, learned_languages(docs), pred=pred, sure=sure)
+    return told.where(F.col(pred) != "und").select(docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,6 +75,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         at = fresh_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(at)
-        docs = spark.read.parquet(at)
+        made = stage(spark, docs, sf_dir)
+        made.write.parquet(at)
+        docs = spark.read.schema(made.schema).parquet(at)
     return STAGES[-1][1](spark, docs, sf_dir)

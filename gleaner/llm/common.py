@@ -50,6 +50,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read again: compressed, and lost executors don't lose it."""
+    at = fresh_path(df.sparkSession, name)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and the n + 1 offsets of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -118,6 +125,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span, by differences of one running sum."""
+    n = len(data)
+    power, inverse = _powers(max(SLICE_BYTES, 1 << max(n, 1).bit_length()))
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[data] * power[:n], out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse[starts])
+
+
 class Words:
     """The words of consecutive documents: first and past-last byte, hash, words before each document."""
 
@@ -135,13 +151,7 @@ class Words:
         self.ends = np.flatnonzero(inside & (after[1:] == 0)) + 1
         self.first = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.first)
-        self.hashes = np.zeros(0, np.uint64)
-        if hashed:
-            size = max(SLICE_BYTES, 1 << max(n, 1).bit_length())
-            power, inverse = _powers(size)
-            total = np.zeros(n + 1, np.uint64)
-            np.cumsum(_BYTE[data] * power[:n], out=total[1:])
-            self.hashes = mix((total[self.ends] - total[self.starts]) * inverse[self.starts])
+        self.hashes = span_hashes(data, self.starts, self.ends) if hashed else np.zeros(0, np.uint64)
 
     def document(self) -> np.ndarray:
         """The document of each word."""
@@ -163,6 +173,14 @@ def word_hash(text: str) -> int:
     return int(Words(data, np.array([0, len(data)]), np.ones(256, bool)).hashes[0])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def parts(spark: SparkSession, least: int = 1) -> int:
     """Shuffle partitions, as configured for the size of the input."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))

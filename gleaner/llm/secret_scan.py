@@ -22,7 +22,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import documents
+from gleaner.llm.common import documents, unused
 
 #: Labelled findings that the forest is trained from, trees and depth.
 LABELLED, TREES, DEPTH = 3000, 15, 7
@@ -162,11 +162,13 @@ def forest(s: Column) -> Column:
     return reduce(add, map(case, fit())) / TREES
 
 
-def with_pieces(df: DataFrame, text: str, path: str | None) -> DataFrame:
-    """Adds _pieces of the text: struct of value, left and score (null for what is between candidates)."""
+def with_pieces(df: DataFrame, text: str, path: str | None) -> tuple[DataFrame, str]:
+    """Adds the pieces of the text, struct of value, left and score (null for what is between candidates); and their column."""
+    split = unused(df, "_split")
+    pieces = unused(df, "_pieces")
     marked = F.regexp_replace(F.col(text), F.lit(PATTERN), F.lit(f"$1{MARK}$2$3{MARK}"))
     where = F.coalesce(F.col(path), F.lit("")) if path else F.lit("")
-    return df.withColumn("_split", F.split(marked, MARK)).withColumn("_pieces", scored(F.col("_split"), where)).drop("_split")
+    return df.withColumn(split, F.split(marked, MARK)).withColumn(pieces, scored(F.col(split), where)).drop(split), pieces
 
 
 def scored(pieces: Column, path: Column) -> Column:
@@ -207,12 +209,13 @@ def kind_of(value: Column, left: Column) -> Column:
 def find_secrets(df: DataFrame, text: str = "text", path: str | None = None, least: float = 0.5) -> DataFrame:
     """A row for each finding: the other columns of df, and start, value, kind and score."""
     stays = [f"`{c}`" for c in df.columns if c not in (text, "start", "value", "kind", "score")]
-    pieces = with_pieces(df, text, path).select(*stays, "_pieces").where(F.size("_pieces") > 1)
-    pieces = pieces.withColumn("_sizes", F.transform("_pieces", lambda x: F.length(x.value)))
-    # both mentions of _sizes keep it a column of its own, computed once
-    before = lambda i: F.aggregate(F.slice("_sizes", F.lit(1), F.least(i, F.size("_sizes"))), F.lit(0), lambda a, b: a + b)
+    held, pieces = with_pieces(df, text, path)
+    sizes, one = unused(held, "_sizes"), unused(held, "_found")
+    rows = held.select(*stays, pieces).where(F.size(pieces) > 1).withColumn(sizes, F.transform(pieces, lambda x: F.length(x.value)))
+    # both mentions of the sizes keep them a column of their own, computed once
+    before = lambda i: F.aggregate(F.slice(sizes, F.lit(1), F.least(i, F.size(sizes))), F.lit(0), lambda a, b: a + b)
     found = F.transform(
-        "_pieces",
+        pieces,
         lambda x, i: F.when(
             x.score >= least,
             F.struct(
@@ -220,14 +223,15 @@ def find_secrets(df: DataFrame, text: str = "text", path: str | None = None, lea
             ),
         ),
     )
-    rows = pieces.select(*stays, F.explode(F.filter(found, lambda x: x.isNotNull())).alias("_found"))
-    return rows.select(*stays, "_found.*")
+    rows = rows.select(*stays, F.explode(F.filter(found, lambda x: x.isNotNull())).alias(one))
+    return rows.select(*stays, f"{one}.*")
 
 
 def redact(df: DataFrame, text: str = "text", path: str | None = None, least: float = 0.5) -> DataFrame:
     """df with every finding in the text replaced."""
-    clean = F.array_join(F.transform("_pieces", lambda x: F.when(x.score >= least, REDACTED).otherwise(x.value)), "")
-    return with_pieces(df, text, path).withColumn(text, clean).drop("_pieces")
+    held, pieces = with_pieces(df, text, path)
+    clean = F.array_join(F.transform(pieces, lambda x: F.when(x.score >= least, REDACTED).otherwise(x.value)), "")
+    return held.withColumn(text, clean).drop(pieces)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import documents
+from gleaner.llm.common import documents, unused
 
 #: Sizes of n-grams, and weights they are hashed to.
 SIZES, WEIGHTS = (3, 4, 5), 4096
@@ -102,12 +102,13 @@ def ngrams(chars: Column, mark: str) -> Column:
     return F.when(F.size(chars) > 0, F.concat(*map(of, SIZES))).otherwise(F.array().cast("array<string>"))
 
 
-def with_buckets(df: DataFrame) -> DataFrame:
-    """Adds _buckets: the hashed n-grams of host and path, their ends marked; an empty part has none."""
+def with_buckets(df: DataFrame, name: str) -> DataFrame:
+    """Adds the hashed n-grams of host and path, their ends marked; an empty part has none."""
     marked = lambda c: F.when(F.length(c) > 0, F.split(F.concat(F.lit("^"), c, F.lit("$")), "")).otherwise(F.array().cast("array<string>"))
-    chars = df.withColumns({"_host": marked(F.col("host")), "_path": marked(F.col("path"))})
-    both = F.concat(ngrams(F.col("_host"), "h"), ngrams(F.col("_path"), "p"))
-    return chars.withColumn("_buckets", F.transform(both, lambda g: F.pmod(F.xxhash64(g), F.lit(WEIGHTS)).cast("int"))).drop("_host", "_path")
+    one, two = unused(df, "_host"), unused(df, "_path")
+    chars = df.withColumns({one: marked(F.col("host")), two: marked(F.col("path"))})
+    both = F.concat(ngrams(F.col(one), "h"), ngrams(F.col(two), "p"))
+    return chars.withColumn(name, F.transform(both, lambda g: F.pmod(F.xxhash64(g), F.lit(WEIGHTS)).cast("int"))).drop(one, two)
 
 
 @lru_cache(1)
@@ -119,8 +120,8 @@ def fit() -> tuple[float, tuple[float, ...]]:
     spark = SparkSession.getActiveSession()
     rows = spark.createDataFrame(labelled_urls(), "url string, label int").coalesce(1)
     host, path = host_and_path(F.col("url"))
-    held = with_buckets(rows.select(F.col("label").cast("double").alias("label"), host.alias("host"), path.alias("path")))
-    terms = held.select("label", F.transform("_buckets", lambda b: b.cast("string")).alias("terms")).cache()
+    held = with_buckets(rows.select(F.col("label").cast("double").alias("label"), host.alias("host"), path.alias("path")), "buckets")
+    terms = held.select("label", F.transform("buckets", lambda b: b.cast("string")).alias("terms")).cache()
     counter = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=WEIGHTS).fit(terms)
     model = LogisticRegression(regParam=0.001, maxIter=80, standardization=False).fit(counter.transform(terms))
     terms.unpersist()
@@ -130,20 +131,21 @@ def fit() -> tuple[float, tuple[float, ...]]:
     return float(model.intercept), tuple(weights)
 
 
-def chance() -> Column:
-    """The model's probability that a url with these _buckets is unwanted."""
+def chance(buckets: str) -> Column:
+    """The model's probability that a url with these buckets is unwanted."""
     intercept, weights = fit()
     table = F.array(*(F.lit(w) for w in weights))
-    return 1 / (1 + F.exp(-F.aggregate("_buckets", F.lit(intercept), lambda a, b: a + F.get(table, b))))
+    return 1 / (1 + F.exp(-F.aggregate(buckets, F.lit(intercept), lambda a, b: a + F.get(table, b))))
 
 
 def filter_urls(df: DataFrame, url: str = "url", rules: tuple = RULES, least: float = 0.5) -> DataFrame:
     """Adds host, path, rule, verdict and score (the model's probability, for every url)."""
     host, path = host_and_path(F.col(url))
-    out = with_buckets(df.withColumns({"host": host, "path": path}))
-    out = out.withColumns({"_fits": rule_of(F.col("host"), F.col("path"), rules), "score": chance()})
-    judged = F.coalesce(F.col("_fits.verdict"), F.when(F.col("score") >= least, "block").otherwise("allow"))
-    return out.withColumns({"rule": F.col("_fits.rule"), "verdict": judged}).drop("_fits", "_buckets")
+    held = df.withColumns({"host": host, "path": path})
+    buckets, fits = unused(held, "_buckets"), unused(held, "_fits")
+    out = with_buckets(held, buckets).withColumns({fits: rule_of(F.col("host"), F.col("path"), rules), "score": chance(buckets)})
+    judged = F.coalesce(F.col(fits)["verdict"], F.when(F.col("score") >= least, "block").otherwise("allow"))
+    return out.withColumns({"rule": F.col(fits)["rule"], "verdict": judged}).drop(fits, buckets)
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,338 @@
+"""op3 to op8 and the pipeline against brute force, and edge cases."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+import public_tokenizers
+from gleaner.llm.common import word_hash
+from gleaner.llm import audio_match, decontaminate, lm_score, secret_scan, token_files, url_filter
+from test_text_ops import ODD, find_components, lower_ascii
+
+
+def held(i, modulus, rest):
+    return i is not None and zlib.crc32(str(i).encode()) % modulus == rest
+
+
+# op3
+
+
+def test_op3(spark, tables):
+    import tokenizers
+
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    r = random.Random(3)
+    docs = [(i, x) for i, x in enumerate(ODD)] + [(100 + i, " ".join("".join(r.choice("aeioutn.,É'") for _ in range(7)) for _ in range(r.randrange(40)))) for i in range(60)]
+    docs.append((None, "first"))
+    shuffled = docs[:]
+    r.shuffle(shuffled)
+    rows = token_files.op3_token_files(spark, tables(shuffled, ids=[1] * len(docs), part=["x"] * len(docs))).collect()
+    want, at = [], 0
+    for i, t in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0)):
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, rows), key=lambda x: x[1]) == want
+    assert token_files.op3_token_files(spark, tables([])).count() == 0
+
+
+def test_token_files_prune_by_metadata(spark, tables, tmp_path):
+    df = spark.read.parquet(tables([(i, "some text here") for i in range(4000)]) + "/documents.parquet")
+    token_files.write_tokens(df, str(tmp_path / "orc"))
+    one = token_files.read_tokens(spark, str(tmp_path / "orc")).where("doc_id = 77")
+    assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,77)]" in one._jdf.queryExecution().toString()
+    assert one.count() == 1 and one.first().ids[-1] == 2
+    files = list((tmp_path / "orc").glob("*.orc"))
+    import pyarrow.orc as orc
+
+    spans = sorted((c := orc.ORCFile(f).read(["doc_id"])["doc_id"].to_pylist())[0:1] + c[-1:] for f in files if orc.ORCFile(f).nrows)
+    assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+# op4
+
+
+def edit_places(words, item):
+    """Least edits of the item within words, by the plain recurrence."""
+    row = [0] * (len(words) + 1)
+    for i, x in enumerate(item, 1):
+        above, row = row, [i]
+        for j, w in enumerate(words, 1):
+            row.append(min(above[j] + 1, row[j - 1] + 1, above[j - 1] + (x != w)))
+    return min(row)
+
+
+def split_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower_ascii(text))
+
+
+def test_op4(spark, tables):
+    r = random.Random(4)
+    vocabulary = ["".join(r.choice("abcdefghijkl") for _ in range(r.randrange(2, 8))) for _ in range(400)] + ["the", "of"] * 60
+    text = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = [(i, text(r.choice([2, 5, 12, 30, 60])).capitalize() + ".") for i in range(30)] + [(30, ""), (31, None)]
+    docs, planted = [], set()
+    for i in range(160):
+        body = text(r.randrange(20, 200))
+        if i % 2:
+            k = r.randrange(30)
+            words = items[k][1].split()
+            edits = r.randrange(0, int(0.1 * len(words)) + 1) if i % 4 == 1 else 0
+            for _ in range(edits):
+                p = r.randrange(len(words))
+                words[p : p + 1] = r.choice([[], ["zzzz"], [words[p], "yyyy"]])
+            body += " " + " ".join(words).upper() + " " + text(10)
+            planted.add((i, k))
+        docs.append(body)
+    docs += ODD
+    rows = decontaminate.op4_decontaminate(spark, tables(docs, items)).collect()
+    truth = {
+        (d, k): e
+        for d, t in enumerate(docs)
+        for k, x in items
+        if (w := split_words(x or "")) and (e := edit_places(split_words(t)[:3000], w)) <= int(0.2 * len(w) + 1e-9)
+    }
+    got = {}
+    for x in rows:
+        got[x.doc_id, x.item_id] = min(x.edits, got.get((x.doc_id, x.item_id), 99))
+        assert edit_places(split_words(x.passage), split_words(dict(items)[x.item_id])) == x.edits
+    assert set(got) <= set(truth) and planted <= set(truth)  # nothing clean is reported
+    assert all(got[p] == truth[p] for p in got)
+    near = [p for p in truth if truth[p] <= 0.1 * len(split_words(dict(items)[p[1]]))]
+    assert sum(p in got for p in near) / len(near) > 0.97
+    assert all(p in got for p in truth if truth[p] == 0)
+    clean = decontaminate.decontaminate(*(spark.read.parquet(f"{tables(docs, items)}/{t}.parquet") for t in ("documents", "benchmark")))
+    assert {x.doc_id for x in clean.collect()} == set(range(len(docs))) - {d for d, _ in got}
+    assert decontaminate.op4_decontaminate(spark, tables([], items)).count() == 0
+    assert decontaminate.op4_decontaminate(spark, tables(docs, [])).count() == 0
+
+
+def test_op4_recall(spark):
+    r = random.Random(8)
+    vocabulary = ["".join(r.choice("abcdefghijkl") for _ in range(5)) for _ in range(3000)]
+    items = tuple((i, " ".join(r.choice(vocabulary) for _ in range(40))) for i in range(60))
+    index = decontaminate.Lsh(items)
+    for edits, least in ((0, 1.0), (2, 0.99), (4, 0.97), (8, 0.75)):
+        found = 0
+        for i, x in items:
+            words = x.split()
+            for p in r.sample(range(len(words)), edits):
+                words[p] = "edited" + str(p)
+            data, offsets = __import__("gleaner.llm.common", fromlist=["x"]).text_buffer(pa.array(["in front " + " ".join(words) + " behind"]))
+            w = decontaminate.Words(data, offsets, decontaminate.ALNUM)
+            found += any(place[1].id == i for place in index.places(w.hashes, w.first))
+        assert found / len(items) >= least, (edits, found)
+
+
+# op5
+
+
+def test_op5(spark, tables):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("etaoinshr") for _ in range(r.randrange(2, 9)))
+    prose = lambda k: " ".join(word() for _ in range(k))
+    hexa = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    secrets = {}
+    docs = []
+    for i in range(120):
+        body = prose(30)
+        if i % 3 == 0:
+            value, key = r.choice([(hexa(40), 'token = "'), (hexa(18), "password="), ("AKIA" + "".join(r.choice("ABCDEFGHJKLMNP234567") for _ in range(16)), "")])
+            secrets[i] = (len(body) + 1 + len(key), value)
+            body += " " + key + value + (' "' if key.endswith('"') else " ") + prose(5)
+        elif i % 3 == 1:
+            body += r.choice([" commit " + hexa(40), " 4785380592391139 ", " id 123e4567-e89b-12d3-a456-426614174000 ", " password=changeme "]) + prose(5)
+        docs.append(body)
+    docs += ODD + [(0, docs[0]), (None, docs[3])]
+    at = tables(docs, start=["s"] * len(docs), kind=[1] * len(docs), _pieces=[1] * len(docs), value=[2] * len(docs))
+    rows = secret_scan.op5_secret_scan(spark, at).collect()
+    got = {x.doc_id: (x.start, x.size) for x in rows if x.doc_id is not None}
+    assert {k: (a, len(v)) for k, (a, v) in secrets.items()} == got
+    assert sum(x.doc_id == 0 for x in rows) == 2 and sum(x.doc_id is None for x in rows) == 1
+    df = spark.read.parquet(at + "/documents.parquet")
+    clean = {(x.doc_id, x.n_chars): x.text for x in secret_scan.redact(df).where("doc_id IS NOT NULL").collect()}
+    for i, d in enumerate(docs[:120]):
+        text = clean[i, len(d)]
+        assert text == (d.replace(secrets[i][1], secret_scan.REDACTED) if i in secrets else d)
+    assert secret_scan.redact(df).columns == df.columns
+    texts = {x.doc_id: x.text for x in secret_scan.redact(df).collect()}
+    assert texts[120] == "" and texts[121] is None
+    assert secret_scan.op5_secret_scan(spark, tables([])).count() == 0
+
+
+def test_secret_scan_is_native(spark, tables):
+    at = tables(["token = " + "ab12" * 10])
+    plan = secret_scan.op5_secret_scan(spark, at)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# op6
+
+
+def test_op6(spark, tables):
+    r = random.Random(6)
+    vocabulary = ["w" + str(int(r.paretovariate(0.7))) for _ in range(600)]
+    docs = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randrange(1, 120)))) for i in range(150)] + [(1000 + i, x) for i, x in enumerate(ODD)] + [(3, "W1 w2"), (None, "w1")]
+    at = tables(docs, id=[1] * len(docs))
+    tokens = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", lower_ascii(t)), None]
+    count = Counter(w for i, t in docs if not held(i, 5, 1) for w in tokens(t))
+    n, v = sum(count.values()), len(count)
+    base = lambda t: sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens(t))
+    rows = lm_score.op6_lm_score(spark, at).collect()
+    key = lambda x: (str(x[0]), x[2])
+    want = sorted(((i, held(i, 5, 1), len(tokens(t)), sum(count[w] > 0 for w in tokens(t)), n, base(t)) for i, t in docs), key=key)
+    got = sorted(((x.doc_id, x.held_out, x.n_tokens, x.n_known, x.train_tokens, x.base_score) for x in rows), key=key)
+    for a, b in zip(got, want, strict=True):
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9)
+    assert all(x.score <= 0 and math.isfinite(x.score) for x in rows)
+    # a filter too large to be sent is probed by shard, with the same result
+    train = ~F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    df = spark.read.parquet(at + "/documents.parquet").select("doc_id", "text")
+    far = sorted((str(x.id), x.n_tokens, round(x.score, 9)) for x in lm_score.score(df, train, filter_bytes=0).collect())
+    assert far == sorted((str(x.doc_id), x.n_tokens, round(x.score, 9)) for x in rows)
+    assert lm_score.op6_lm_score(spark, tables([])).count() == 0
+
+
+def test_log_frequency_filter():
+    rng = np.random.default_rng(2)
+    at = np.unique(rng.integers(0, 2**48, 60_000, dtype=np.uint64))
+    counts = np.minimum(rng.zipf(1.5, len(at)), 10**6)
+    bits = lm_score.build_filter(at, counts)
+    read = lambda x: lm_score.read_levels(bits, np.zeros(len(x), np.int64), np.full(len(x), len(bits)), x)
+    want = np.floor(np.log2(counts)).astype(int) + 1
+    assert (read(at) >= want).all() and (read(at) == want).mean() > 0.95  # errs upward only, and seldom
+    other = rng.integers(2**48, 2**49, 60_000, dtype=np.uint64)
+    assert (read(other) > 0).mean() < 0.05
+
+
+# op7
+
+
+def brute_url(url):
+    rules = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    host = lower_ascii(re.split(r"[/?#]", rest, maxsplit=1)[0])
+    path = re.split(r"[?#]", rest[len(host) :], maxsplit=1)[0]
+    fits = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, *max(fits)[1:]) if fits else (host, path, None, None)
+
+
+def test_op7(spark, tables):
+    urls = [
+        "http://a.example.com/en/7?x", "https://EXAMPLE.com/en/8/", "http://com/en/", "http://xcom/en/", "http://b.net/de/1", "http://q.example.net/de/81#t", "ftp://é.org/es/é",
+        "http://host", "http://host?q=/en/", "no scheme", None, "", "http://", "://x/y", "http://a//b://c/d?e", "HTTP://Www.Cheap-Pills.example.org/fr/1", "https://x.org/" + "a/" * 20_000,
+        "http://com.net/de/", "http://example.com/EN/7",
+    ]
+    pages = list(enumerate(urls)) + [(0, urls[1]), (None, urls[0])]
+    rows = url_filter.op7_url_filter(spark, tables(pages=pages)).collect()
+    got = sorted(((x.page_id, x.host, x.path, x.rule, x.verdict if x.rule else None) for x in rows), key=str)
+    assert got == sorted(((i, *brute_url(u)) for i, u in pages), key=str)
+    assert {x.verdict for x in rows} == {"allow", "block"}
+    by = {x.page_id: x for x in rows}
+    assert by[15].verdict == "block" and by[15].rule is None and by[10].verdict == "allow"
+    assert url_filter.op7_url_filter(spark, tables()).count() == 0
+
+
+def test_url_model_learns_its_table_and_is_native(spark, tables):
+    lab = spark.createDataFrame(url_filter.labelled_urls(), "url string, label int")
+    told = url_filter.filter_urls(lab.withColumn("_host", F.lit(1)))
+    assert told.agg(F.avg((F.col("label") == (F.col("score") > 0.5).cast("int")).cast("double"))).first()[0] > 0.97
+    assert told.columns == ["url", "label", "_host", "host", "path", "score", "rule", "verdict"]
+    assert not re.search("Python|Pandas|Arrow", url_filter.op7_url_filter(spark, tables(pages=[(1, "http://a.b/c")]))._jdf.queryExecution().executedPlan().toString())
+    many = tuple(("block", f"h{i}.com", "/") for i in range(450))
+    assert url_filter.filter_urls(spark.createDataFrame([("http://x.h449.com/",)], "url string"), rules=many).first().rule == "h449.com/"
+
+
+# op8
+
+
+def test_audio_prints_follow_the_sound():
+    notes = audio_match.notes()
+    r = np.random.default_rng(1)
+    tune = r.integers(0, 12, 200)
+    one, at = audio_match.chroma(notes[tune].ravel(), np.array([0, 200 * audio_match.FRAME]))
+    assert (one.argmax(1) == tune).all() and at.tolist() == [0, 200]
+    ints, first = audio_match.integers(one, at)
+    assert len(ints) == 200 - audio_match.WINDOW + 1 and first.tolist() == [0, len(ints)]
+    loud = (notes[tune].ravel() * 2.5 + r.normal(0, 150, 200 * audio_match.FRAME)).clip(-32768, 32767).astype(np.int16)
+    same, _ = audio_match.integers(*audio_match.chroma(loud, np.array([0, len(loud)])))
+    assert audio_match.errors(ints.tobytes(), same.tobytes(), 0)[1] < 0.08
+    other, _ = audio_match.integers(*audio_match.chroma(notes[r.integers(0, 12, 200)].ravel(), np.array([0, 200 * audio_match.FRAME])))
+    assert audio_match.errors(ints.tobytes(), other.tobytes(), 0)[1] > 0.2
+    late = audio_match.errors(ints.tobytes(), ints[30:].tobytes(), -30)
+    assert late == (1.0, 0.0)
+
+
+def test_op8(spark, tables):
+    r = random.Random(9)
+    text = lambda n: [" ".join("".join(r.choice("abcdefghij") for _ in range(4)) for _ in range(n))]
+    docs, groups = [], []
+    for _ in range(12):
+        words = text(500)[0].split()
+        start = len(docs)
+        docs.append(" ".join(words))
+        docs.append(" ".join(words))
+        edited = words[:]
+        for _ in range(4):  # a note becomes another one
+            p = r.choice([i for i, w in enumerate(edited) if word_hash(w) % audio_match.NOTE_EVERY == 0])
+            edited[p] = next(w for w in text(200)[0].split() if word_hash(w) % audio_match.NOTE_EVERY == 0)
+        docs.append(" ".join(edited))
+        docs.append(" ".join(words[25:]))
+        groups.append(set(range(start, start + 4)))
+        docs += text(400)
+    docs += ODD + [(0, docs[0])]
+    at = tables(docs, rid=[1] * len(docs), ints=["i"] * len(docs))
+    rows = audio_match.op8_audio_match(spark, at).collect()
+    comp = {x.doc_id: x.component_id for x in rows}
+    assert len(rows) == len(docs)
+    found = {}
+    for k, v in comp.items():
+        found.setdefault(v, set()).add(k)
+    assert all(found[min(g)] == g for g in groups)
+    short = [x for x in rows if x.n_ints == 0]
+    assert short and all(x.component_id == x.doc_id and x.n_links == 0 for x in short)
+    assert audio_match.op8_audio_match(spark, tables([])).count() == 0
+
+
+def test_audio_column(spark):
+    notes = audio_match.notes()
+    tune = np.random.default_rng(3).integers(0, 12, 150)
+    a = notes[tune].tobytes()
+    df = spark.createDataFrame([(1, bytearray(a)), (2, bytearray(a[20 * 2 * audio_match.FRAME :] + b"\x01")), (3, None), (4, bytearray(b"\x00"))], "rec long, media binary")
+    rows, links = audio_match.align(df, "rec", "media")
+    assert {x.id: x.component_id for x in rows.collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert abs(links.first().offset) == 20 and links.first().error == 0.0
+
+
+# pipeline
+
+
+def test_pipeline(spark, tables):
+    r = random.Random(7)
+    vocabulary = ["".join(r.choice("abcdefghijkl") for _ in range(r.randrange(2, 8))) for _ in range(500)]
+    text = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    item = text(30)
+    clean = [text(80) for _ in range(40)]
+    secret = text(80) + ' token = "' + "0123456789abcdef" * 2 + 'deadbeef" end'
+    docs = [(i, x) for i, x in enumerate(clean)] + [(100, clean[0]), (101, clean[1] + " " + item), (102, "12 34"), (103, None), (104, secret), (None, text(50)), (None, text(60)), (7, clean[7])]
+    at = tables(docs, [(1, item)], _lang_pred=[1] * len(docs), score=[2.0] * len(docs))
+    rows = corpus_pipeline.run(spark, at).collect()
+    ids = [x.doc_id for x in rows]
+    assert sorted(x for x in ids if x is not None) == [*range(40), 104] and ids.count(None) == 2
+    docs_df = spark.read.parquet(at + "/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs_df, at).columns == docs_df.columns, name
+    redacted = corpus_pipeline.secrets_stage(spark, docs_df, at).where("doc_id = 104").first()
+    assert "deadbeef" not in redacted.text and secret_scan.REDACTED in redacted.text and redacted.n_chars == len(redacted.text)
+    assert corpus_pipeline.run(spark, tables([], [(1, item)])).count() == 0
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "secret_scan", "bpe"]

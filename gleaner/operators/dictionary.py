@@ -90,15 +90,14 @@ def capitalized(toks: DataFrame) -> DataFrame:
 def baseline(toks: DataFrame) -> DataFrame:
     """term and p: shares of a baseline corpus."""
     each = toks.select(F.explode("tokens").alias("term")).groupBy("term").count()
-    n = each.agg(F.sum("count").alias("n"))
-    return each.crossJoin(F.broadcast(n)).select("term", (F.col("count") / F.col("n")).alias("p"))
+    return each.select("term", (F.col("count") / each.agg(F.sum("count")).scalar()).alias("p"))
 
 
 def keyness(counts: DataFrame, base: DataFrame, total: DataFrame) -> DataFrame:
     """counts (term, count, ...) with keyness, oov and zipf. total: one row."""
-    rows = counts.join(base, "term", "left").crossJoin(F.broadcast(total.select("total_tokens")))
+    rows = counts.join(base, "term", "left")
     known = F.coalesce(F.col("p") > 0, F.lit(False))
-    share = F.col("count") / F.col("total_tokens")
+    share = F.col("count") / total.select("total_tokens").scalar()
     return rows.select(
         *counts.columns,
         rounded(F.log10(share / F.when(known, F.col("p")).otherwise(F.lit(FLOOR))), 3).alias("keyness"),
@@ -184,13 +183,13 @@ def examples(units: DataFrame, terms: DataFrame, phrase_list: DataFrame, n: int
     """term, source_id, start, end, text, score and rank of the best examples among each term's first candidates.
 
     Terms are found by their tokens (an equi-join), phrases within the lower-case text; both lists are bounded by
-    top_k and sent to every task. Units without a span are left out.
+    top_k and reach every task. Units without a span are left out.
     """
     held = units.where("start IS NOT NULL AND end IS NOT NULL").select("source_id", "start", "end", "text", tokens(F.col("text")).alias("tokens"))
     each = held.select("source_id", "start", "end", "text", F.explode(F.array_distinct("tokens")).alias("term"))
     by_term = each.join(F.broadcast(terms.select("term").distinct()), "term")
-    wanted = F.broadcast(phrase_list.agg(F.collect_set("phrase").alias("wanted")))  # one row, top_k phrases
-    found = held.crossJoin(wanted).select(
+    wanted = phrase_list.agg(F.collect_set("phrase")).scalar()  # top_k phrases
+    found = held.withColumn("wanted", wanted).select(
         "source_id", "start", "end", "text", F.explode(F.filter("wanted", lambda p: F.contains(F.lower("text"), p))).alias("term")
     )
     both = by_term.select(*found.columns).unionByName(found)

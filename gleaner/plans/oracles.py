@@ -216,6 +216,8 @@ _TERMS = [(t.term, t.canonical_form or t.term, t.category) for t in Q.TERMS]
 ORACLE_SQL = {
     "doc_units": f'WITH {UNITS} SELECT source_id, start, "end", text FROM units',
     "doc_unit_ids": f"WITH {UNITS} SELECT unit_id, 'feat_' || sha256(unit_id || '|surface_complexity_profile|1.0.0')[:8] AS feature_record_id, CAST(length(text) AS INTEGER) AS n_chars FROM units",
+    "page_units": f"""WITH pages_ AS (SELECT printf('page%d', page_id) AS source_id, '' AS panel, {norm("regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'g')")} AS text FROM pages WHERE html IS NOT NULL)
+SELECT source_id, start, "end", text FROM ({split('pages_')})""",
     "quality_profile": f"WITH {UNITS}{QUALITY} SELECT source_id, sentence_count, fragment_rate, terminal_rate, segmentation_quality FROM quality",
     "transcript_hash": f"WITH {DOCS} SELECT source_id, 'sha256:' || sha256(text) AS sha256, CAST(length(text) AS INTEGER) AS char_count FROM docs",
     "conversation_transcript": f"WITH {TURNS} SELECT source_id, 'sha256:' || sha256(text) AS sha256, cue_count FROM scripts",

@@ -36,7 +36,7 @@ def conversations_as_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages_as_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """source_id, panel (the host) and the text of every page without its markup."""
-    bare = F.regexp_replace("html", r"(?is)<(script|style)[^>]*>.*?</\1>|<!--.*?-->|<[^>]*>", " ")
+    bare = F.regexp_replace("html", r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<[^>]*>", " ")
     return table(spark, sf_dir, "pages").select(
         F.format_string("page%d", "page_id").alias("source_id"),
         F.regexp_extract("url", "://([^/?#]*)", 1).alias("panel"),

@@ -62,7 +62,12 @@ def assemble(votes: DataFrame) -> DataFrame:
 
 
 def contexts(units: DataFrame, n: int = CONTEXT) -> DataFrame:
-    """unit_id with how many units stand before and after it (n at most), and their texts: one window, no self-join."""
+    """unit_id with how many units stand before and after it (n at most), and their texts.
+
+    Units that carry them already (see units.segment) are not shuffled; others need one window, no self-join.
+    """
+    if "context_before" in units.columns:
+        return units.select("unit_id", "sentences_before", "sentences_after", "context_before", "context_after")
     order = Window.partitionBy("source_id").orderBy("start")
     whole = Window.partitionBy("source_id")
     at, size = F.row_number().over(order), F.count("*").over(whole)
@@ -78,8 +83,11 @@ def contexts(units: DataFrame, n: int = CONTEXT) -> DataFrame:
 
 def with_units(candidates: DataFrame, units: DataFrame, n: int = CONTEXT) -> DataFrame:
     """Candidates with context counts (0 for an unknown unit), segmentation quality and readiness."""
-    held = contexts(units, n).select("unit_id", "sentences_before", "sentences_after")
-    about = units.select("unit_id", "segmentation_quality").join(held, "unit_id").withColumnRenamed("unit_id", "unit_ref").withColumn("known", F.lit(True))
+    counts = ["sentences_before", "sentences_after"]
+    about = units
+    if "sentences_before" not in units.columns:
+        about = units.select("unit_id", "segmentation_quality").join(contexts(units, n).select("unit_id", *counts), "unit_id")
+    about = about.select(F.col("unit_id").alias("unit_ref"), "segmentation_quality", *counts, F.lit(True).alias("known"))
     rows = candidates.join(about, "unit_ref", "left")
     none = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     return rows.select(

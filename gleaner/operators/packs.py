@@ -58,9 +58,9 @@ def candidate_packs(
     limit: the first so many in order of source and place.
     """
     wanted = candidates.where(F.col("bucket").isin(*buckets)).drop("family")
-    about = units.select(F.col("unit_id").alias("unit_ref"), F.col("text").alias("candidate_text")).join(
-        contexts(units, n).select(F.col("unit_id").alias("unit_ref"), "context_before", "context_after"), "unit_ref"
-    )
+    near = ["context_before", "context_after"]
+    about = units if "context_before" in units.columns else units.select("unit_id", "text").join(contexts(units, n).select("unit_id", *near), "unit_id")
+    about = about.select(F.col("unit_id").alias("unit_ref"), F.col("text").alias("candidate_text"), *near)
     first = votes.select(F.col("annotation_id").alias("_first"), F.col("label_vote").alias("family"))
     rows = wanted.withColumn("_first", F.get("vote_refs", 0)).join(first, "_first").join(about, "unit_ref")
     if limit is not None:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions import ids
-from gleaner.functions.text import rounded, running_starts, sentences, words
+from gleaner.functions.text import TERMINAL, rounded, running_starts, sentences, words
 from gleaner.sources.records import json_string, sorted_json
 
 PROFILE = "norm_v0_1"
@@ -27,17 +27,55 @@ def cue_ranges(cues: DataFrame) -> DataFrame:
     return cues.withColumn("c_start", start).withColumn("c_end", (start + F.length("text")).cast("int"))
 
 
-def segment(transcripts: DataFrame) -> DataFrame:
-    """A row for each sentence of normalized text: the other columns, start, end and text. Nothing is shuffled."""
+def segment(transcripts: DataFrame, context: int = 0, profiled: bool = False) -> DataFrame:
+    """A row for each sentence of normalized text: the other columns, start, end and text. Nothing is shuffled.
+
+    A transcript is one row, so its sentences' neighbours and its quality are at hand before the rows part:
+    context adds sentences_before and sentences_after (that many at most) and their texts, context_before and
+    context_after; profiled adds segmentation_quality. Both spare a window or a join over all sentences.
+    """
     others = [c for c in transcripts.columns if c != "text"]
     held = transcripts.withColumn("_pieces", sentences(F.col("text"))).withColumn("_starts", running_starts(F.col("_pieces")))
-    rows = held.select(*others, F.posexplode("_pieces").alias("_n", "_piece"), "_starts")
+    more = {}
+    if profiled:
+        held = held.withColumn("segmentation_quality", _rates(F.col("_pieces"))["segmentation_quality"])
+        more["segmentation_quality"] = F.col("segmentation_quality")
+    if context:
+        held = held.withColumn("_all", F.transform("_pieces", lambda p: F.ltrim(p)))
+        n, after = F.col("_n"), F.size("_all") - 1 - F.col("_n")
+        more |= {
+            "sentences_before": F.least(n, F.lit(context)),
+            "sentences_after": F.least(after, F.lit(context)),
+            "context_before": F.array_join(F.slice("_all", F.greatest(n - context, F.lit(0)) + 1, F.least(n, F.lit(context))), " "),
+            "context_after": F.array_join(F.slice("_all", n + 2, F.lit(context)), " "),
+        }
+    rows = held.select("*", F.posexplode("_pieces").alias("_n", "_piece"))
     lead = F.length("_piece") - F.length(F.ltrim("_piece"))
     at = F.get("_starts", F.col("_n"))
-    spans = rows.select(*others, (at + lead).alias("start"), (at + F.length("_piece")).alias("end"), F.ltrim("_piece").alias("text"))
+    spans = rows.select(
+        *others, (at + lead).alias("start"), (at + F.length("_piece")).alias("end"), F.ltrim("_piece").alias("text"), *(c.alias(k) for k, c in more.items())
+    )
     return spans.where("text <> ''")
 
 
+def _rates(pieces: Column) -> Column:
+    """sentence_count, fragment_rate, terminal_rate and segmentation_quality of the pieces of a normalized text."""
+    kept = F.filter(pieces, lambda p: F.ltrim(p) != "")
+    n = F.size(kept).cast("long")
+    of = lambda test: rounded(F.coalesce(F.try_divide(F.size(F.filter(kept, test)), n), F.lit(0.0)), 4)
+    fragment = of(lambda p: F.size(F.split(F.ltrim(p), " ")) < FRAGMENT_WORDS)
+    terminal = of(lambda p: F.substring(p, -1, 1).isin(*TERMINAL))
+    return F.struct(
+        n.alias("sentence_count"), fragment.alias("fragment_rate"), terminal.alias("terminal_rate"), quality_class(terminal, fragment).alias("segmentation_quality")
+    )
+
+
+def profiles(transcripts: DataFrame) -> DataFrame:
+    """The quality of every transcript, from its own row; one without sentences has rates 0."""
+    held = transcripts.withColumn("_pieces", sentences(F.col("text")))
+    return held.select("source_id", _rates(F.col("_pieces")).alias("q")).select("source_id", "q.*")
+
+
 def with_ids(units: DataFrame) -> DataFrame:
     return units.withColumn("unit_id", ids.unit_id("source_id", "start"))
 
@@ -59,7 +97,7 @@ def with_cues(units: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def quality(units: DataFrame) -> DataFrame:
-    """sentence_count, fragment_rate, terminal_rate and segmentation_quality of every source."""
+    """sentence_count, fragment_rate, terminal_rate and segmentation_quality of every source of any table of units."""
     short = F.size(words(F.col("text"))) < FRAGMENT_WORDS
     n = F.count("*")
     rates = units.groupBy("source_id").agg(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.operators import annotate, candidates, features, units, validate
+from gleaner.operators.candidates import CONTEXT
 from gleaner.registries import RULES, TERMS, Rule, Term
 from gleaner.sources.records import write_jsonl
 
@@ -53,20 +54,22 @@ class Evidence:
 def from_cues(cues: DataFrame, run_id: str, rules: tuple[Rule, ...] = RULES, terms: tuple[Term, ...] = TERMS) -> Evidence:
     """From cues (source_id, cue_ord, srt_index, tc_start, tc_end, text)."""
     transcripts = units.build_transcripts(cues)
-    plain = units.with_cues(units.with_ids(units.segment(transcripts.select("source_id", "text"))), units.cue_ranges(cues))
+    cut = units.segment(transcripts.select("source_id", "text"), CONTEXT, profiled=True)
+    plain = units.with_cues(units.with_ids(cut), units.cue_ranges(cues))
     return _from_units(transcripts, plain, run_id, rules, terms)
 
 
 def from_texts(sources: DataFrame, run_id: str, rules: tuple[Rule, ...] = RULES, terms: tuple[Term, ...] = TERMS) -> Evidence:
     """From normalized texts (source_id, text), without time codes."""
     transcripts = sources.select("source_id", "text", F.lit(0).alias("cue_count"))
-    plain = units.with_ids(units.segment(transcripts.select("source_id", "text"))).withColumn("tc_start", F.lit(None).cast("string"))
+    cut = units.segment(transcripts.select("source_id", "text"), CONTEXT, profiled=True)
+    plain = units.with_ids(cut).withColumn("tc_start", F.lit(None).cast("string"))
     return _from_units(transcripts, plain, run_id, rules, terms)
 
 
 def _from_units(transcripts: DataFrame, plain: DataFrame, run_id: str, rules, terms) -> Evidence:
-    profiles = units.quality(plain)
-    whole = units.with_quality(plain, profiles)
-    votes = annotate.rule_votes(plain, rules)
-    found = candidates.capped(candidates.with_units(candidates.assemble(votes), whole))
-    return Evidence(transcripts, units.lockfile(transcripts, profiles, run_id), profiles, whole, votes, annotate.term_occurrences(plain, terms), found)
+    profiles = units.profiles(transcripts)
+    anchors = plain.select("source_id", "start", "end", "text", "unit_id", "tc_start")
+    votes = annotate.rule_votes(anchors, rules)
+    found = candidates.capped(candidates.with_units(candidates.assemble(votes), plain))
+    return Evidence(transcripts, units.lockfile(transcripts, profiles, run_id), profiles, plain, votes, annotate.term_occurrences(anchors, terms), found)

@@ -39,6 +39,11 @@ def doc_units_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.with_ids(units.segment(documents_as_sources(spark, sf_dir))).withColumn("tc_start", F.lit("00:00:00,000"))
 
 
+def full_units_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_units_of with contexts and quality."""
+    return units.with_ids(units.segment(documents_as_sources(spark, sf_dir), candidates.CONTEXT, profiled=True))
+
+
 def votes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate.rule_votes(doc_units_of(spark, sf_dir), RULES)
 
@@ -100,7 +105,7 @@ def page_units(spark, sf_dir):
 
 
 def quality_profile(spark, sf_dir):
-    return units.quality(doc_units_of(spark, sf_dir))
+    return units.profiles(documents_as_sources(spark, sf_dir)).where("sentence_count > 0")
 
 
 def transcript_hash(spark, sf_dir):
@@ -183,11 +188,11 @@ def cap_log(spark, sf_dir):
 
 
 def context_counts(spark, sf_dir):
-    return candidates.contexts(doc_units_of(spark, sf_dir)).select("unit_id", "sentences_before", "sentences_after")
+    return candidates.contexts(full_units_of(spark, sf_dir)).select("unit_id", "sentences_before", "sentences_after")
 
 
 def context_text(spark, sf_dir):
-    return candidates.contexts(doc_units_of(spark, sf_dir)).select("unit_id", "context_before", "context_after")
+    return candidates.contexts(full_units_of(spark, sf_dir)).select("unit_id", "context_before", "context_after")
 
 
 def evidence_ready(spark, sf_dir):
@@ -201,8 +206,7 @@ def evidence_ready(spark, sf_dir):
 
 
 def surface_complexity(spark, sf_dir):
-    held = units.with_quality(doc_units_of(spark, sf_dir), units.quality(doc_units_of(spark, sf_dir)))
-    return features.surface_complexity(held).select("unit_id", "triggered", "length_tokens", "length_chars", "lexical_density", "suppression_reason")
+    return features.surface_complexity(full_units_of(spark, sf_dir)).select("unit_id", "triggered", "length_tokens", "length_chars", "lexical_density", "suppression_reason")
 
 
 def marker_profile(spark, sf_dir):
@@ -217,8 +221,7 @@ def deictic_profile(spark, sf_dir):
 
 
 def feature_counts(spark, sf_dir):
-    held = units.with_quality(doc_units_of(spark, sf_dir), units.quality(doc_units_of(spark, sf_dir)))
-    return features.feature_counts(features.feature_records(held, RUN, MARKERS, DEICTICS)).groupBy("name").agg(F.sum("records").alias("records"), F.sum("triggered").alias("triggered"))
+    return features.feature_counts(features.feature_records(full_units_of(spark, sf_dir), RUN, MARKERS, DEICTICS)).groupBy("name").agg(F.sum("records").alias("records"), F.sum("triggered").alias("triggered"))
 
 
 # dictionary
@@ -307,7 +310,7 @@ def schema_violations(spark, sf_dir):
 
 
 def candidate_packs(spark, sf_dir):
-    rows = packs.candidate_packs(candidates_of(spark, sf_dir), doc_units_of(spark, sf_dir), votes_of(spark, sf_dir))
+    rows = packs.candidate_packs(candidates_of(spark, sf_dir), full_units_of(spark, sf_dir), votes_of(spark, sf_dir))
     return rows.select("candidate_ref", "family", "pack_id", F.length("candidate_text").alias("n_chars"))
 
 
@@ -316,7 +319,7 @@ def controls_union(spark, sf_dir):
     controls = table(spark, sf_dir, "benchmark").select(
         F.format_string("ctl_%d", "item_id").alias("control_id"), F.lit("contrast").alias("mimicked_family"), normalized(F.col("text")).alias("text"), F.lit(None).cast("string").alias("ref_candidate_id"), F.lit(None).cast("string").alias("ref_source_id"),
     )
-    both = packs.candidate_packs(candidates_of(spark, sf_dir), doc_units_of(spark, sf_dir), votes_of(spark, sf_dir)).unionByName(packs.control_packs(controls))
+    both = packs.candidate_packs(candidates_of(spark, sf_dir), full_units_of(spark, sf_dir), votes_of(spark, sf_dir)).unionByName(packs.control_packs(controls))
     return both.groupBy("family", "is_control").agg(F.count("*").alias("n"), F.min("candidate_ref").alias("least_ref"))
 
 

@@ -231,3 +231,13 @@ def test_ids(spark):
         ids.evidence_id(F.lit("cand_1")).alias("d"),
     ).first()
     assert tuple(row) == ("src_aws_lux_kickoff_01", "unit_s_1234567", "llmv_run_a3f1_pack_07_001", "ev_cand_1")
+
+
+def test_contexts_and_quality_of_any_units(spark, run):
+    bare = run.units.drop("sentences_before", "sentences_after", "context_before", "context_after")
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(C.contexts(bare)) == key(C.contexts(run.units))
+    assert key(U.quality(bare).select("source_id", "sentence_count", "fragment_rate", "terminal_rate", "segmentation_quality")) == key(run.profiles)
+    odd = spark.createDataFrame([("e", ""), ("x", "one two"), ("y", "A. B! cc dd ee ff?"), ("z", "no end here at all. Then")], "source_id string, text string")
+    assert key(U.profiles(odd).where("sentence_count > 0")) == key(U.quality(U.segment(odd)).select(U.profiles(odd).columns))
+    assert U.profiles(odd).where("source_id = 'e'").first().segmentation_quality == "unpunctuated"

@@ -26,8 +26,8 @@ def hits(text: Column, patterns: list[tuple[str, Column]]) -> Column:
     return found[0] if len(found) == 1 else F.concat(*found)
 
 
-def rule_votes(units: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """A row for each rule that matches a unit: the unit's columns but text, and the vote."""
+def rule_votes(units: DataFrame, rules: tuple[Rule, ...] = RULES, with_text: bool = False) -> DataFrame:
+    """A row for each rule that matches a unit: the unit's other columns, and the vote; with_text: candidate_text too."""
     text, mode = F.col("text"), {"shadow": "shadow"}
     made = [
         (
@@ -47,8 +47,8 @@ def rule_votes(units: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         for n, r in enumerate(rules)
     ]
     others = [c for c in units.columns if c not in ("text", "unit_id")]
-    rows = units.select(*others, F.col("unit_id").alias("unit_ref"), F.explode(hits(text, made)).alias("v"))
-    rows = rows.select(*others, "unit_ref", "v.*")
+    held = [*others, F.col("unit_id").alias("unit_ref"), *([text.alias("candidate_text")] if with_text else [])]
+    rows = units.select(*held, F.explode(hits(text, made)).alias("v")).select("*", "v.*").drop("v")
     return rows.withColumn("annotation_id", ids.annotation_id("source_id", "start", "end", "rule_id"))
 
 

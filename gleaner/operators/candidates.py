@@ -33,11 +33,16 @@ def routing_reason(n_active: Column, family: Column) -> Column:
     return F.when(n_active > 0, voted).otherwise("shadow-only observational; excluded from routed caps + ablation")
 
 
+#: What a unit can bring along through its votes, so that candidates need no join with all units.
+CARRIED = ("sentences_before", "sentences_after", "segmentation_quality", "candidate_text", "context_before", "context_after")
+
+
 def assemble(votes: DataFrame) -> DataFrame:
-    """A row for each cluster of votes of one family in a source, with its primary vote's anchor."""
+    """A row for each cluster of votes of one family in a source, with its primary vote's anchor and what its unit brings along."""
+    carried = [c for c in CARRIED if c in votes.columns]
     placed = clusters(votes, ["source_id", "label_vote"])
     rank = F.when(F.col("authority_mode") == "active", 0).otherwise(1).alias("rank")
-    primary = F.min(F.struct(rank, "rule_id", "start", "end", "unit_ref", "tc_start"))
+    primary = F.min(F.struct(rank, "rule_id", "start", "end", "unit_ref", "tc_start", *carried))
     rows = placed.groupBy("source_id", F.col("label_vote").alias("family"), "cluster").agg(
         primary.alias("p"),
         F.count_if(F.col("authority_mode") == "active").alias("n_active"),
@@ -58,6 +63,7 @@ def assemble(votes: DataFrame) -> DataFrame:
         bucket_of(n).alias("bucket"),
         routing_reason(n, F.col("family")).alias("reason"),
         F.when(n > 0, "rule_vote").otherwise("shadow").alias("authority_level"),
+        *(F.col(f"p.{c}").alias(c) for c in carried),
     )
 
 
@@ -82,7 +88,10 @@ def contexts(units: DataFrame, n: int = CONTEXT) -> DataFrame:
 
 
 def with_units(candidates: DataFrame, units: DataFrame, n: int = CONTEXT) -> DataFrame:
-    """Candidates with context counts (0 for an unknown unit), segmentation quality and readiness."""
+    """Candidates with context counts (0 for an unknown unit), segmentation quality and readiness.
+
+    For candidates and units that were stored apart. Candidates whose votes carried these need no join: see ready.
+    """
     counts = ["sentences_before", "sentences_after"]
     about = units
     if "sentences_before" not in units.columns:
@@ -99,6 +108,11 @@ def with_units(candidates: DataFrame, units: DataFrame, n: int = CONTEXT) -> Dat
     )
 
 
+def ready(candidates: DataFrame) -> DataFrame:
+    """Candidates that carry their unit's counts, with readiness: their unit is known and has a context."""
+    return candidates.withColumn("blocked_reason", blocked_reason(F.col("unit_ref").isNotNull(), F.col("sentences_before").isNotNull()))
+
+
 def blocked_reason(unit_known: Column, has_context: Column) -> Column:
     """Why evidence is not ready; null if it is. Attribution never blocks."""
     return F.when(~F.coalesce(unit_known, F.lit(False)), "blocked:unit_ref_unresolved").when(

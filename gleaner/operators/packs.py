@@ -71,6 +71,17 @@ def candidate_packs(
     return packed(rows, template)
 
 
+def carried_packs(candidates: DataFrame, buckets: tuple[str, ...] = ("high", "medium"), limit: int | None = None, template: str = TEMPLATE) -> DataFrame:
+    """Packs of candidates whose votes carried their unit's text and contexts: nothing is joined."""
+    rows = candidates.where(F.col("bucket").isin(*buckets))
+    if limit is not None:
+        rows = rows.orderBy("source_id", "family", "start").limit(limit)
+    rows = rows.select(
+        F.col("candidate_id").alias("candidate_ref"), "source_id", "family", "candidate_text", "context_before", "context_after", F.lit(False).alias("is_control")
+    )
+    return packed(rows, template)
+
+
 def control_packs(controls: DataFrame, limit: int | None = None, template: str = TEMPLATE) -> DataFrame:
     """Packs of controls: control_id, mimicked_family, text, and ref_candidate_id and ref_source_id or null. No context."""
     rows = controls if limit is None else controls.orderBy("control_id").limit(limit)

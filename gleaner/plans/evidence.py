@@ -69,7 +69,7 @@ def from_texts(sources: DataFrame, run_id: str, rules: tuple[Rule, ...] = RULES,
 
 def _from_units(transcripts: DataFrame, plain: DataFrame, run_id: str, rules, terms) -> Evidence:
     profiles = units.profiles(transcripts)
-    anchors = plain.select("source_id", "start", "end", "text", "unit_id", "tc_start")
+    anchors = plain.select("source_id", "start", "end", "text", "unit_id", "tc_start", "sentences_before", "sentences_after", "segmentation_quality")
     votes = annotate.rule_votes(anchors, rules)
-    found = candidates.capped(candidates.with_units(candidates.assemble(votes), plain))
+    found = candidates.capped(candidates.ready(candidates.assemble(votes)))
     return Evidence(transcripts, units.lockfile(transcripts, profiles, run_id), profiles, plain, votes, annotate.term_occurrences(anchors, terms), found)

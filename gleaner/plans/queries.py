@@ -52,6 +52,11 @@ def candidates_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates.assemble(votes_of(spark, sf_dir))
 
 
+def carrying_candidates_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = full_units_of(spark, sf_dir).withColumn("tc_start", F.lit("00:00:00,000"))
+    return candidates.assemble(annotate.rule_votes(held, RULES, with_text=True))
+
+
 def tokens_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dictionary.tokenized(doc_units_of(spark, sf_dir), "panel")
 
@@ -310,7 +315,7 @@ def schema_violations(spark, sf_dir):
 
 
 def candidate_packs(spark, sf_dir):
-    rows = packs.candidate_packs(candidates_of(spark, sf_dir), full_units_of(spark, sf_dir), votes_of(spark, sf_dir))
+    rows = packs.carried_packs(carrying_candidates_of(spark, sf_dir))
     return rows.select("candidate_ref", "family", "pack_id", F.length("candidate_text").alias("n_chars"))
 
 
@@ -319,7 +324,7 @@ def controls_union(spark, sf_dir):
     controls = table(spark, sf_dir, "benchmark").select(
         F.format_string("ctl_%d", "item_id").alias("control_id"), F.lit("contrast").alias("mimicked_family"), normalized(F.col("text")).alias("text"), F.lit(None).cast("string").alias("ref_candidate_id"), F.lit(None).cast("string").alias("ref_source_id"),
     )
-    both = packs.candidate_packs(candidates_of(spark, sf_dir), full_units_of(spark, sf_dir), votes_of(spark, sf_dir)).unionByName(packs.control_packs(controls))
+    both = packs.carried_packs(carrying_candidates_of(spark, sf_dir)).unionByName(packs.control_packs(controls))
     return both.groupBy("family", "is_control").agg(F.count("*").alias("n"), F.min("candidate_ref").alias("least_ref"))
 
 

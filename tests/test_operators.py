@@ -177,6 +177,9 @@ def packed(spark):
     from gleaner.operators import candidates
 
     rows = packs.candidate_packs(candidates.assemble(found), held, found)
+    full = units.with_ids(units.segment(docs, 2, profiled=True)).withColumn("tc_start", F.lit("00:00:00,000"))
+    carried = packs.carried_packs(candidates.assemble(annotate.rule_votes(full, with_text=True)))
+    assert sorted(map(tuple, carried.collect())) == sorted(map(tuple, rows.select(carried.columns).collect()))
     controls = spark.createDataFrame([("c1", "advice", "Garbled text", None, None), ("c2", "caveat", "Off family", "cand_12345678", "s9")], "control_id string, mimicked_family string, text string, ref_candidate_id string, ref_source_id string")
     return rows.unionByName(packs.control_packs(controls)).cache()
 

@@ -1,17 +1,20 @@
-"""Command line: python -m gleaner.cli run|validate|dictionary|packs ..."""
+"""Command line: python -m gleaner.cli run|validate|dictionary|packs|judge|adjudicate ..."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from gleaner.operators import dictionary, packs, validate
+from gleaner.plans import judging
 from gleaner.plans.evidence import Evidence, from_cues
 from gleaner.registries import RULES, TERMS
 from gleaner.session import session
+from gleaner.sources.records import document, read_controls
 from gleaner.sources.registry_files import read_rules, read_terms
 from gleaner.sources.srt import parse_srt, read_srt
 
@@ -37,9 +40,14 @@ def build_dictionary(spark, found: Evidence, baseline, min_count: int, min_docfr
     return rows, [r.asDict() for r in top.orderBy(F.desc("count"), "phrase").collect()], about
 
 
+def loaded(name: str):
+    module, function = name.split(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("command", choices=["run", "validate", "dictionary", "packs"])
+    parser.add_argument("command", choices=["run", "validate", "dictionary", "packs", "judge", "adjudicate"])
     parser.add_argument("--srt", required=True, help="a file, folder or glob of subtitle files")
     parser.add_argument("--out", default="out")
     parser.add_argument("--run-id", default="run_local")
@@ -49,6 +57,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--baseline", help="Parquet of term and p: the general-language shares")
     parser.add_argument("--buckets", default="high,medium")
     parser.add_argument("--limit", type=int)
+    parser.add_argument("--controls", help="JSON lines of planted controls")
+    parser.add_argument("--max-controls", type=int)
+    parser.add_argument("--judge", default="gleaner.operators.votes:fake_judge", help="module:function, prompt -> reply, usage, model, code")
+    parser.add_argument("--lane", default="local")
+    parser.add_argument("--model", default="strong", help="the adjudicator's name")
+    parser.add_argument("--fresh", action="store_true", help="forget recorded votes")
     parser.add_argument("--min-count", type=int, default=4)
     parser.add_argument("--min-docfreq", type=int, default=2)
     parser.add_argument("--top-k", type=int, default=120)
@@ -75,6 +89,19 @@ def main(argv: list[str] | None = None) -> None:
         print(text)
     else:
         rows = packs.candidate_packs(found.candidates, found.units, found.votes, packs.parse_buckets(args.buckets), args.limit)
+        if args.controls and args.command != "adjudicate":
+            rows = rows.unionByName(packs.control_packs(read_controls(spark, args.controls), args.max_controls))
+        if args.command == "judge":
+            left = judging.run_lane(rows, loaded(args.judge), args.lane, args.out, args.run_id, args.execute, args.fresh)
+            if args.execute:
+                print(document(judging.run_summary(spark, args.out)))
+            else:
+                print(f"{left.count()} packs to judge")
+            return
+        if args.command == "adjudicate":
+            pairs = judging.adjudicate(rows, loaded(args.judge), args.model, args.lane, args.out, args.run_id, args.execute)
+            print(judging.report(pairs, args.model))
+            return
         if args.execute:
             rows.write.mode("overwrite").parquet(args.out)
         for r in packs.families(rows).orderBy("family").collect():

@@ -132,6 +132,11 @@ def capped(candidates: DataFrame, above: int = CAP_ABOVE, keep: int = CAP_KEEP)
     return rows.withColumn("kept", kept).drop("_routed", "_level", "_n")
 
 
+def in_order(candidates: DataFrame) -> DataFrame:
+    """Families by name; in each the routed ones by rank, then the shadow ones."""
+    return candidates.orderBy("source_id", "family", (F.col("authority_level") != "rule_vote").cast("int"), "rank_in_family")
+
+
 def cap_log(candidates: DataFrame, above: int = CAP_ABOVE, keep: int = CAP_KEEP) -> DataFrame:
     """total, routed and keep_k of every family of a source."""
     counted = candidates.groupBy("source_id", "family").agg(

@@ -96,6 +96,22 @@ def schema_violations(lines: DataFrame, schema: dict, name: str, value: str = "v
     return parsed.select(F.lit(name).alias("check"), F.col(value).alias("key"), F.explode(found).alias("violation"))
 
 
+def structural(lines: DataFrame, schemas: dict[str, tuple[dict, str]], enums: dict = ENUMS) -> DataFrame:
+    """Violations of JSON lines (file, line, value): each file's schema, repeated ids, and unit_refs without a unit.
+
+    schemas: file name -> (schema, its id field). Other files are left alone.
+    """
+    found, parsed = [], lines.withColumn("_v", F.try_parse_json("value"))
+    for name, (schema, key) in schemas.items():
+        rows = parsed.where(F.col("file") == name)
+        found.append(schema_violations(rows, schema, name, enums=enums))
+        found.append(duplicates(rows.select(F.try_variant_get("_v", f"$.{key}", "string").alias(key)), key))
+        if key != "unit_id" and "unit_ref" in schema.get("properties", {}):
+            units = parsed.where(F.col("file") == "units.jsonl").select(F.try_variant_get("_v", "$.unit_id", "string").alias("unit_id"))
+            found.append(orphans(rows.select(F.try_variant_get("_v", "$.unit_ref", "string").alias("unit_ref")), "unit_ref", units, "unit_id"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _rows(df: DataFrame, check: str, key: str, violation: Column) -> DataFrame:
     return df.select(F.lit(check).alias("check"), F.col(key).cast("string").alias("key"), violation.alias("violation")).where("violation IS NOT NULL")
 

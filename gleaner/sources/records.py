@@ -14,6 +14,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
     return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
+def read_controls(spark: SparkSession, path: str) -> DataFrame:
+    """Planted controls: control_id, mimicked_family, text, and what they refer to or null."""
+    fields = "control_id string, mimicked_family string, text string, ref_candidate_id string, ref_source_id string, expected_verdict string"
+    return read_jsonl(spark, path, fields)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, line and value (raw JSON) of every line that is not blank, for validators."""
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")

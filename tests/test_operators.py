@@ -330,7 +330,13 @@ def test_cli(spark, tmp_path, capsys):
     main(["run", "--srt", srt, "--out", str(tmp_path / "o")])
     main(["packs", "--srt", srt, "--buckets", "all"])
     main(["dictionary", "--srt", srt, "--min-count", "1", "--out", str(tmp_path / "d"), "--execute"])
+    (tmp_path / "controls.jsonl").write_text('{"control_id": "c1", "mimicked_family": "advice", "text": "Garbled.", "expected_verdict": "reject", "rationale": "x"}\n')
+    more = ["--srt", srt, "--out", str(tmp_path / "store"), "--controls", str(tmp_path / "controls.jsonl")]
+    main(["judge", *more])
+    main(["judge", *more, "--execute"])
+    main(["adjudicate", *more, "--execute"])
     said = capsys.readouterr().out
+    assert "4 packs to judge" in said and '"control_votes": 1' in said and '"n_compared": 3' in said
     assert "no violations" in said and '"candidates": 5' in said and "advice: 1" in said and "# Dictionary" in said
     assert not (tmp_path / "o").exists() and (tmp_path / "d" / "dictionary.md").exists()
 
@@ -338,3 +344,54 @@ def test_cli(spark, tmp_path, capsys):
 def test_parse_response_column(spark):
     rows = spark.createDataFrame([('{"a": 1}',), ("x",), (None,)], "r string").select(parse_response(F.coalesce("r", F.lit(""))).alias("p")).collect()
     assert [r.p.object for r in rows] == ['{"a": 1}', None, None]
+
+
+def test_judging_run_resumes(packed, spark, tmp_path):
+    from gleaner.plans import judging as J
+
+    root, calls = str(tmp_path / "store"), []
+    flaky = lambda prompt: ("", {}, "m", 124) if "test this.</candidate>" in prompt else votes.fake_judge(prompt)
+    assert J.run_lane(packed, flaky, "one", root, "run_a1b2").count() == packed.count()  # a dry run
+    assert J.recorded(spark, root + "/votes", J.VOTES).count() == 0
+    J.run_lane(packed, flaky, "one", root, "run_a1b2", execute=True)
+    first = J.recorded(spark, root + "/votes", J.VOTES)
+    assert first.count() == packed.count() - 1 and J.run_lane(packed, flaky, "one", root, "run_a1b2").count() == 1
+    J.run_lane(packed, votes.fake_judge, "one", root, "run_a1b2", execute=True)
+    rows = J.recorded(spark, root + "/votes", J.VOTES).collect()
+    assert len(rows) == packed.count() == len({r.llm_vote_id for r in rows})
+    one = J.run_summary(spark, root).first()
+    assert one.votes == packed.count() and one.lane_failures == 1 and one.control_votes == 2 and one.malformed_rate == 0.0
+    assert J.ledger(J.recorded(spark, root + "/votes", J.VOTES)).agg(F.sum("completion")).first()[0] == 20 * packed.count()
+    strong = lambda p: (votes.fake_judge(p)[0].replace("uncertain", "confirm"), {}, "big-20250101", 0)
+    pairs = J.adjudicate(packed, strong, "big", "two", root, "run_a1b2", execute=True)
+    assert pairs.count() == packed.where("NOT is_control").count()
+    again = J.adjudicate(packed, strong, "big-20260101", "two", root, "run_a1b2", execute=True)
+    assert again.count() == pairs.count() and J.recorded(spark, root + "/adjudication", J.VOTES).count() == pairs.count()
+    text = json.loads(J.report(pairs, "big"))
+    assert text["n_compared"] == pairs.count() and sum(text["confusion"].values()) == pairs.count()
+    J.run_lane(packed, votes.fake_judge, "one", root, "run_a1b2", execute=True, fresh=True)
+    assert J.recorded(spark, root + "/votes", J.VOTES).count() == packed.count()
+    with pytest.raises(ValueError, match="no base votes"):
+        J.adjudicate(packed, strong, "big", "two", str(tmp_path / "none"), "r")
+
+
+def test_structural(spark):
+    unit = {"type": "object", "required": ["unit_id"], "properties": {"unit_id": {"type": "string", "pattern": "^unit_"}}}
+    vote = {"type": "object", "properties": {"annotation_id": {"type": "string"}, "unit_ref": {"type": "string"}}}
+    rows = [
+        ("units.jsonl", '{"unit_id": "unit_1"}'), ("units.jsonl", '{"unit_id": "unit_1"}'), ("units.jsonl", '{"unit_id": "x"}'), ("annotations.jsonl", '{"annotation_id": "a", "unit_ref": "unit_1"}'),
+        ("annotations.jsonl", '{"annotation_id": "b", "unit_ref": "unit_9"}'), ("other.txt", "zzz"),
+    ]
+    df = spark.createDataFrame([(f, i, v) for i, (f, v) in enumerate(rows)], "file string, line int, value string")
+    found = validate.structural(df, {"units.jsonl": (unit, "unit_id"), "annotations.jsonl": (vote, "annotation_id")}).collect()
+    assert {(r.check, r.violation) for r in found} == {
+        ("units.jsonl", "units.jsonl.unit_id: does not match /^unit_/"), ("duplicate", "duplicate unit_id, rows: 2"), ("orphan", "unit_9 resolves to no unit_id"),
+    }
+
+
+def test_output_order(spark):
+    from gleaner.operators import candidates as C
+
+    rows = [("s", "b", "shadow", 1), ("s", "b", "rule_vote", 2), ("s", "b", "rule_vote", 1), ("s", "a", "shadow", 1)]
+    df = spark.createDataFrame(rows, "source_id string, family string, authority_level string, rank_in_family int")
+    assert [tuple(r) for r in C.in_order(df).collect()] == [rows[3], rows[2], rows[1], rows[0]]

@@ -12,7 +12,7 @@ then verified: the least number of word edits that turns the item into some pass
 window (bit-parallel, exact) must be at most 1 - SIMILARITY of the item's words.
 
 With SYMBOL 3 and REPEATS 32 a passage with a tenth of its words edited is found with probability above
-0.99, and one with a fifth edited above 0.85; an exact passage is always found (see tests).
+0.99, and one with a fifth edited above 0.9; an exact passage is always found (see tests).
 
 Null or empty texts and items match nothing. Ties: of overlapping places of an item the one with fewer
 edits, then the earlier, is given. Repeated rows each give their own rows. Items reach the workers in
@@ -170,7 +170,7 @@ class Lsh:
         for (doc, number), starts in sorted(seen.items()):
             item, found = self.items[number], []
             low, high = int(first[doc]), int(first[doc + 1])
-            done = -1
+            done = low - item.size  # no start lies before that
             for start in sorted(starts):
                 if start <= done:
                     continue  # the passage before reaches as far

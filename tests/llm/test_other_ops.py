@@ -120,13 +120,13 @@ def test_op4_recall(spark):
     vocabulary = ["".join(r.choice("abcdefghijkl") for _ in range(5)) for _ in range(3000)]
     items = tuple((i, " ".join(r.choice(vocabulary) for _ in range(40))) for i in range(60))
     index = decontaminate.Lsh(items)
-    for edits, least in ((0, 1.0), (2, 0.99), (4, 0.97), (8, 0.75)):
+    for edits, least in ((0, 1.0), (2, 0.99), (4, 0.98), (8, 0.9)):
         found = 0
         for i, x in items:
             words = x.split()
-            for p in r.sample(range(len(words)), edits):
-                words[p] = "edited" + str(p)
-            data, offsets = __import__("gleaner.llm.common", fromlist=["x"]).text_buffer(pa.array(["in front " + " ".join(words) + " behind"]))
+            for p in sorted(r.sample(range(len(words)), edits), reverse=True):
+                words[p : p + 1] = r.choice([["edited"], [], [words[p], "put"]])
+            data, offsets = __import__("gleaner.llm.common", fromlist=["x"]).text_buffer(pa.array([" ".join(words) + " behind"]))
             w = decontaminate.Words(data, offsets, decontaminate.ALNUM)
             found += any(place[1].id == i for place in index.places(w.hashes, w.first))
         assert found / len(items) >= least, (edits, found)

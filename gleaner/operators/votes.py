@@ -180,6 +180,13 @@ def confusion(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy(label.alias("label")).agg(F.count("*").alias("n"))
 
 
+def by_bucket(votes: DataFrame, candidates: DataFrame) -> DataFrame:
+    """bucket, votes, confirmed and confirm_rate of votes on candidates (no controls)."""
+    kept = votes.where(~F.col("is_control")).join(candidates.select(F.col("candidate_id").alias("candidate_ref"), "bucket"), "candidate_ref")
+    out = kept.groupBy("bucket").agg(F.count("*").alias("votes"), F.count_if(F.col("verdict") == "confirm").alias("confirmed"))
+    return out.withColumn("confirm_rate", rounded(F.try_divide(F.col("confirmed").cast("double"), F.col("votes")), 6))
+
+
 def flips(pairs: DataFrame) -> DataFrame:
     return pairs.where("base <> strong")
 

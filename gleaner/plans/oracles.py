@@ -150,7 +150,7 @@ malformed AS (SELECT 'quality' AS lane, printf('doc%d', doc_id) AS candidate_ref
                      CASE WHEN doc_id % 11 = 0 THEN 'model_malformed' WHEN doc_id % 13 = 0 THEN 'lane_failure' END AS failure_type
               FROM labels WHERE doc_id % 11 = 0 OR doc_id % 13 = 0)"""
 PAIRS = f"""{LANES}, pairs AS (
-  SELECT b.verdict AS base, s.verdict AS strong FROM (SELECT candidate_ref, max_by(verdict, seq) AS verdict FROM lanes WHERE lane = 'quality' AND NOT is_control GROUP BY 1) b
+  SELECT candidate_ref, b.verdict AS base, s.verdict AS strong FROM (SELECT candidate_ref, max_by(verdict, seq) AS verdict FROM lanes WHERE lane = 'quality' AND NOT is_control GROUP BY 1) b
   JOIN (SELECT candidate_ref, max_by(verdict, seq) AS verdict FROM lanes WHERE lane = 'toxic' AND NOT is_control GROUP BY 1) s USING (candidate_ref))"""
 
 
@@ -311,5 +311,11 @@ coalesce(CAST(control_rejects AS DOUBLE) / nullif(control_votes, 0) >= 0.9, fals
 c AS (SELECT candidate_ref, count(*) AS n, count(DISTINCT verdict) AS k FROM own GROUP BY candidate_ref HAVING count(*) = 2)
 SELECT count(*) AS shared_candidates, count(*) FILTER (k = 1) AS fully_agreed, {share('count(*) FILTER (k = 1)', 'count(*)')} AS agreement_rate FROM c""",
     "adjudication": f"WITH {PAIRS} SELECT count(*) AS n_compared, count(*) FILTER (base = strong) AS agree, count(*) FILTER (base <> strong) AS n_flips, {share('count(*) FILTER (base = strong)', 'count(*)')} AS agreement_rate FROM pairs",
+    "flips": f"WITH {PAIRS} SELECT candidate_ref, base, strong FROM pairs WHERE base <> strong",
+    "confirm_by_bucket": f"""WITH {CANDIDATES} SELECT bucket, count(*) AS votes, count(*) FILTER (start % 3 = 0) AS confirmed, {share('count(*) FILTER (start % 3 = 0)', 'count(*)')} AS confirm_rate
+FROM candidates WHERE start % 5 <> 0 GROUP BY bucket""",
     "confusion": f"WITH {PAIRS} SELECT 'base_' || base || '__strong_' || strong AS label, count(*) AS n FROM pairs GROUP BY ALL",
+    "parse_responses": """WITH r AS (SELECT conv_id, turn, CAST(to_json({'verdict': 'confirm', 'rationale': text}) AS VARCHAR) AS j FROM conversations),
+o AS (SELECT *, conv_id % 3 <> 2 OR length(j) <= 40 AS ok FROM r)
+SELECT conv_id, turn, ok, CASE WHEN ok THEN '' ELSE 'no_json_object_found' END AS reason, CASE WHEN ok THEN CAST(length(j) AS INTEGER) END AS size FROM o""",
 }

@@ -356,6 +356,18 @@ def confusion(spark, sf_dir):
     return votes.confusion(compared_of(spark, sf_dir))
 
 
+def flips(spark, sf_dir):
+    return votes.flips(compared_of(spark, sf_dir))
+
+
+def confirm_by_bucket(spark, sf_dir):
+    """Votes by the candidates' places, every fifth a control, joined to their buckets."""
+    found = candidates_of(spark, sf_dir)
+    verdict = F.when(F.col("start") % 3 == 0, "confirm").when(F.col("start") % 3 == 1, "reject").otherwise("uncertain")
+    cast = found.select(F.col("candidate_id").alias("candidate_ref"), verdict.alias("verdict"), (F.col("start") % 5 == 0).alias("is_control"))
+    return votes.by_bucket(cast, found)
+
+
 def parse_responses(spark, sf_dir):
     """Turns wrapped as a judge's replies, some fenced, some cut off."""
     from gleaner.functions.responses import parse_response
@@ -375,6 +387,7 @@ QUERIES = {
         candidates_by_bucket, family_caps, cap_log, context_counts, context_text, evidence_ready, surface_complexity, marker_profile,
         deictic_profile, feature_counts, unigram_counts, bigram_counts, trigram_counts, corpus_totals, cap_counts, keyness_topk,
         phrases_topk, collocates_top6, kwic_top4, blind_spots, fk_orphans, dup_ids, anchor_violations, schema_violations,
-        candidate_packs, controls_union, resume_pending, vote_summary, agreement, adjudication, confusion, parse_responses,
+        candidate_packs, controls_union, resume_pending, vote_summary, agreement, adjudication, confusion, flips, confirm_by_bucket,
+        parse_responses,
     )
 }

@@ -1,8 +1,8 @@
 """BPE encoding and decoding by a priority queue of merge ranks over a doubly linked symbol list.
 
 The vocabulary file is a parameter and is read on every worker (it is part of the installed
-tokenizer package, a few MB whatever the corpus). White space separates text into chunks whose
-encodings don't depend on each other, so each worker keeps a bounded table of chunks it has seen.
+tokenizer package, a few MB whatever the corpus). Each distinct piece of text goes through the merges once, see
+pieces.
 
 Null text is empty text and has no ids. Rows, order and other columns stay as they are; where a
 column is called like an output, the output replaces it. Texts may be of any length.
@@ -11,10 +11,10 @@ column is called like an output, the output replaces it. Texts may be of any len
 from __future__ import annotations
 
 import heapq
-import json
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -24,13 +24,11 @@ from pyspark.sql import types as T
 import public_tokenizers
 
 from gleaner.llm.common import documents, slices, text_buffer
+from gleaner.llm.pieces import Pieces
 
 WORD_BPE = "word_bpe_49k.json"
-#: Chunks and words that a worker keeps, and the longest kept.
-KEPT_CHUNKS, KEPT_WORDS, KEPT_CHARS = 150_000, 350_000, 48
 #: White space of the normaliser's pattern (Unicode White_Space).
 _SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
-_ODD_SPACE = regex.compile("[\x1c-\x1f]")
 
 
 def byte_chars() -> list[str]:
@@ -40,13 +38,12 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
-class Bpe:
+class Bpe(Pieces):
     """Encoder and decoder for a vocabulary file of the word-end kind."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model = spec["model"]
+        super().__init__(path)
+        model = self.spec["model"]
         vocab = model["vocab"]
         suffix = model["end_of_word_suffix"] or ""
         self.merges = {}
@@ -56,15 +53,11 @@ class Bpe:
         chars = byte_chars()
         self.inner = [vocab[c] for c in chars]
         self.final = [vocab[c + suffix] for c in chars]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for name, i in [*vocab.items(), *self.special.items()]:
             self.names[i] = name
-        split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"]).findall
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        del self.spec
 
     def merge(self, ids: list[int]) -> list[int]:
         """Applies the merges of lowest rank first, leftmost first among equals."""
@@ -95,50 +88,31 @@ class Bpe:
                 heapq.heappush(queue, (found[0], h, found[1]))
         return [i for i in ids if i >= 0]
 
-    def word(self, piece: str) -> bytes:
-        got = self.words.get(piece)
-        if got is None:
-            data = piece.encode()
-            ids = [self.inner[b] for b in data]
-            ids[-1] = self.final[data[-1]]
-            got = b"".join(i.to_bytes(4, "little") for i in self.merge(ids))
-            if len(piece) <= KEPT_CHARS:
-                if len(self.words) >= KEPT_WORDS:
-                    self.words.clear()
-                self.words[piece] = got
-        return got
-
-    def chunk(self, chunk: str) -> bytes:
-        got = b"".join(map(self.word, self.pieces(chunk)))
-        if len(chunk) <= KEPT_CHARS:
-            if len(self.chunks) >= KEPT_CHUNKS:
-                self.chunks.clear()
-            self.chunks[chunk] = got
-        return got
-
-    def plain(self, text: str) -> bytes:
-        """Text without special tokens."""
-        if not text.isascii():
-            # one character at a time: a final sigma is not special
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
-        chunks = _SPACE.split(text) if _ODD_SPACE.search(text) else text.split()
-        seen = self.chunks.get
-        return b"".join([seen(c) or self.chunk(c) for c in chunks if c])
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if "<|" not in text:
-            return self.plain(text)
-        ids = self.special
-        return b"".join(
-            ids[part].to_bytes(4, "little") if part in ids else self.plain(part) for part in self.specials.split(text)
-        )
-
-    def decode(self, ids: bytes) -> str:
+    def word(self, word: str) -> list[int]:
+        data = word.encode()
+        ids = [self.inner[b] for b in data]
+        ids[-1] = self.final[data[-1]]
+        return self.merge(ids)
+
+    def words(self, words: list[str]) -> list[np.ndarray]:
+        return [np.array(self.word(w), np.int32) for w in words]
+
+    def whole(self, text: str) -> np.ndarray:
+        ids: list[int] = []
+        for part in self.specials.split(text):
+            if part in self.special:
+                ids.append(self.special[part])
+            else:
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+                for chunk in _SPACE.split(part):
+                    for word in self.pattern(chunk):
+                        ids += self.word(word)
+        return np.array(ids, np.int32)
+
+    def decode(self, ids: np.ndarray) -> str:
         """Vocabulary strings, a space between them (the file names no decoder)."""
         names = self.names
-        return " ".join([names[i] for i in memoryview(ids).cast("I")])
+        return " ".join([names[i] for i in ids.tolist()])
 
 
 @lru_cache(2)
@@ -162,14 +136,16 @@ def bpe_encode(
         coder = bpe(path)
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            column = batch.column(at)
-            _, offsets = text_buffer(column)
+            data, offsets = text_buffer(batch.column(at))
             for i, j in slices(offsets):
-                got = [coder.encode(x or "") for x in column.slice(i, j - i).to_pylist()]
+                got, n = coder.encode_bytes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                ends = np.concatenate([[0], np.cumsum(n)])
+                packed = [None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(got.astype("<u4"))]
                 part = batch.slice(i, j - i)
-                arrays = [part.column(batch.schema.get_field_index(c)) for c in stays] + [pa.array(got, pa.binary())]
+                arrays = [part.column(batch.schema.get_field_index(c)) for c in stays]
+                arrays.append(pa.Array.from_buffers(pa.binary(), j - i, packed))
                 if decoded:
-                    arrays.append(pa.array([coder.decode(x) for x in got], pa.string()))
+                    arrays.append(pa.array([coder.decode(got[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, [*stays, *outputs])
 
     return df.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(run, T.StructType(fields))
@@ -185,7 +161,7 @@ def bpe_decode(df: DataFrame, ids: str = "ids", path: str | None = None, decoded
         coder = bpe(path)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
-            texts = pa.array([coder.decode(x.as_py() or b"") for x in column], pa.string())
+            texts = pa.array([coder.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in column], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*stays, decoded])
 
     return df.select(*(F.col(f"`{c}`") for c in stays)).mapInArrow(run, schema)

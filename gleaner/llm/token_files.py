@@ -14,22 +14,21 @@ in any order among themselves. An empty table gives an empty folder of files.
 
 from __future__ import annotations
 
-import json
-import unicodedata
+import os
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import public_tokenizers
 
-from gleaner.llm.bpe import WORD_BPE, _ODD_SPACE
-from gleaner.llm.common import LOWER, SOLID, Words, documents, fresh_path, parts, slices, span_hashes, text_buffer
+from gleaner.llm.bpe import WORD_BPE
+from gleaner.llm.common import documents, fresh_path, parts, slices, text_buffer
+from gleaner.llm.pieces import Pieces
 
 #: Document stripes of about this many bytes, row indexes every so many rows.
 ORC_OPTIONS = {
@@ -40,16 +39,6 @@ ORC_OPTIONS = {
     "orc.create.index": "true",
     "compression": "zstd",
 }
-#: Pieces of text that a worker keeps.
-KEPT = 3_000_000
-#: Classes of bytes: white space, letters, digits, other ASCII, and what only the library can split.
-SPACE, LETTER, DIGIT, OTHER, HARD = range(5)
-_CLASS = np.full(256, OTHER, np.int8)
-_CLASS[[0x20, *range(0x09, 0x0E)]] = SPACE
-_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
-_CLASS[0x30:0x3A] = DIGIT
-_CLASS[[*range(0x1C, 0x20), ord("'"), *range(0x80, 0x100)]] = HARD
-
 _TOKENS = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -61,120 +50,34 @@ _TOKENS = T.StructType(
 )
 
 
-class Encoder:
-    """The library's encoding; each piece of text is given to it once and kept.
-
-    White space separates chunks, and in plain ASCII the pattern's words are runs of letters, single digits and
-    runs of other signs, none of which depends on what stands beside it; a chunk with an apostrophe or other
-    bytes is one piece. Equal pieces are found by a 64-bit hash, in arrays; only pieces not seen before become
-    strings. Several words are encoded in one call: an id whose vocabulary string ends a word ends it. Special
-    tokens and odd white space go to the library as they are.
-    """
+class Encoder(Pieces):
+    """The library's encoding; many words in one call: an id whose vocabulary string ends a word ends it."""
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         import tokenizers
 
+        super().__init__(path)
         self.library = tokenizers.Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        suffix = spec["model"]["end_of_word_suffix"]
-        vocab = self.library.get_vocab()
+        suffix, vocab = self.spec["model"]["end_of_word_suffix"], self.library.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for name, i in vocab.items() if name.endswith(suffix)]] = True
-        split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"]).findall
-        self.clear()
-
-    def clear(self) -> None:
-        """Nothing is kept: the sorted hashes of pieces, and where in the ids each begins and how many it has."""
-        self.known, self.begin = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.size, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        del self.spec
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
 
-    def fresh(self, pieces: list[str]) -> list[np.ndarray]:
-        """The ids of pieces."""
-        out: list = [None] * len(pieces)
-        words, counts = [], []
-        for n, piece in enumerate(pieces):
-            if piece.isascii() and "'" not in piece and not _ODD_SPACE.search(piece) and "<|" not in piece:
-                found = [piece]  # as the normaliser does, to which a final sigma is not special
-            elif "<|" in piece or _ODD_SPACE.search(piece):
-                out[n] = self.whole(piece)
-                continue
-            else:
-                found = self.pieces(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower())
-            words += found
-            counts.append((n, len(found)))
+    def words(self, words: list[str]) -> list[np.ndarray]:
         if not words:
-            return out
+            return []
         ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
-        at = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
-        if len(at) - 1 != len(words):
-            return [self.whole(p) if x is None else x for p, x in zip(pieces, out, strict=True)]
-        before = 0
-        for n, k in counts:
-            out[n] = ids[at[before] : at[before + k]]
-            before += k
-        return out
-
-    def spans(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First and past-last byte of every piece, and the pieces before each document."""
-        chunks = Words(data, offsets, SOLID, hashed=False)
-        kind = _CLASS[data]
-        hard = np.concatenate([[0], np.cumsum(kind == HARD)])
-        whole = np.flatnonzero(hard[chunks.ends] > hard[chunks.starts])
-        cover = np.zeros(len(data) + 1, np.int8)  # bytes of chunks that stay in one piece
-        cover[chunks.starts[whole]] = 1
-        cover[chunks.ends[whole]] -= 1
-        kind[np.cumsum(cover[:-1], dtype=np.int8) > 0] = HARD
-        cut = np.zeros(len(data), bool)
-        cut[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
-        cut[chunks.starts] = True
-        cut &= kind != SPACE
-        starts = np.flatnonzero(cut)
-        # a piece ends where the next one starts or where its chunk ends
-        chunk = np.searchsorted(chunks.starts, starts, side="right") - 1
-        ends = np.minimum(np.append(starts[1:], len(data)), chunks.ends[chunk])
-        return starts, ends, np.searchsorted(starts, offsets)
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of consecutive documents, and how many each has."""
-        raw = data.tobytes()
-        if b"<|" not in raw:  # special tokens are the only thing that case matters to
-            data = LOWER[data]
-            raw = data.tobytes()
-            starts, ends, first = self.spans(data, offsets)
-        else:
-            chunks = Words(data, offsets, SOLID, hashed=False)
-            starts, ends, first = chunks.starts, chunks.ends, chunks.first
-            self.clear()  # chunks of that kind are not pieces
-        hashes = span_hashes(data, starts, ends)
-        unique, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        near = np.searchsorted(self.known, unique)
-        new = np.ones(len(unique), bool)
-        if len(self.known):
-            new = self.known[np.minimum(near, len(self.known) - 1)] != unique
-        if new.any():
-            ids = self.fresh([raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
-            size = np.array([len(x) for x in ids], np.int32)
-            self.begin = np.insert(self.begin, near[new], len(self.ids) + np.cumsum(size) - size)
-            self.size = np.insert(self.size, near[new], size)
-            self.known = np.insert(self.known, near[new], unique[new])
-            self.ids = np.concatenate([self.ids, *ids])
-            near = np.searchsorted(self.known, unique)
-        begin, n = self.begin[near][which], self.size[near][which].astype(np.int64)
-        before = np.concatenate([[0], np.cumsum(n)])
-        out = self.ids[np.repeat(begin - before[:-1], n) + np.arange(before[-1])]
-        if len(self.known) > KEPT or b"<|" in raw:
-            self.clear()
-        return out, np.diff(before[first])
+        at = np.flatnonzero(self.ends[ids]) + 1
+        if len(at) != len(words):
+            return [self.whole(w) for w in words]
+        at = at.tolist()
+        return [ids[a:b] for a, b in zip([0, *at], at)]
 
 
 @lru_cache(2)
@@ -194,7 +97,7 @@ def write_tokens(docs: DataFrame, to: str, path: str | None = None, end_id: int
             ids, column = batch.column(0), batch.column(1)
             data, ends = text_buffer(column)
             for i, j in slices(ends):
-                got, n = coder.encode(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i])
+                got, n = coder.encode_bytes(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i])
                 got = np.insert(got, np.cumsum(n), np.int32(end_id))
                 at = np.concatenate([[0], np.cumsum(n + 1)])
                 yield pa.RecordBatch.from_arrays(

@@ -17,6 +17,7 @@ from gleaner.llm import langid, license_scan, simhash
 from gleaner.llm.bpe import Bpe, bpe_decode, bpe_encode, op9_bpe
 from gleaner.llm.common import ALNUM, LOWER, SOLID, Words, byte_class, grams, slices, text_buffer
 from gleaner.llm.graph import components
+from gleaner.llm.token_files import Encoder
 
 import public_tokenizers
 
@@ -190,14 +191,25 @@ def library():
     return tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
-@given(st.text(alphabet=st.characters(codec="utf-8", exclude_categories=("Cs", "Cn")), max_size=60))
+@given(st.text(alphabet=st.characters(codec="utf-8", max_codepoint=0x2FFF, exclude_categories=("Cs", "Cn", "Co")), max_size=60))
 @settings(max_examples=150, deadline=None)
 def test_bpe_is_the_librarys(library, text):
     coder = test_bpe_is_the_librarys.__dict__.setdefault("coder", Bpe(public_tokenizers.path("word_bpe_49k.json")))
-    ids = np.frombuffer(coder.encode(text), "<u4").tolist()
+    data, offsets = text_buffer(pa.array([text, text + " x"]))
+    ids, n = coder.encode_bytes(data, offsets)
     want = library.encode(text, add_special_tokens=False).ids
-    assert ids == want
-    assert coder.decode(coder.encode(text)) == library.decode(want, skip_special_tokens=False)
+    assert ids[: n[0]].tolist() == coder.whole(text).tolist() == want
+    assert coder.decode(ids[: n[0]]) == library.decode(want, skip_special_tokens=False)
+
+
+@given(st.lists(st.text(alphabet="aB'é,. 1<|endoftext>ΣİÉ\x1c\u0301s", max_size=30), max_size=5))
+@settings(max_examples=150, deadline=None)
+def test_pieces_are_the_librarys(library, texts):
+    for kind in (Bpe, Encoder):
+        coder = test_pieces_are_the_librarys.__dict__.setdefault(kind, kind(public_tokenizers.path("word_bpe_49k.json")))
+        ids, n = coder.encode_bytes(*text_buffer(pa.array(texts, pa.string())))
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for x in want for i in x] and n.tolist() == [len(x) for x in want]
 
 
 def test_op9(spark, tables, library):

@@ -227,9 +227,16 @@ def score(
     unseen = n_all + 0.5 * (n_distinct + 1)
     sent = None
     if size <= filter_bytes:
-        held = {r.shard: np.frombuffer(r.bits, np.uint64) for r in model.select("shard", "bits").toLocalIterator()}
-        filters = [held.get(s, np.zeros(1, np.uint64)) for s in range(shards)]
-        sent = spark.sparkContext.broadcast((np.array([len(x) for x in filters]), np.concatenate(filters)))
+        # one array, filled shard by shard: the driver holds the filter once
+        lengths = np.ones(shards, np.int64)
+        for r in model.select("shard", F.octet_length("bits").alias("n")).collect():
+            lengths[r.shard] = r.n // 8
+        ends = np.cumsum(lengths)
+        joined = np.zeros(ends[-1], np.uint64)
+        for r in model.select("shard", "bits").toLocalIterator():
+            joined[ends[r.shard] - lengths[r.shard] : ends[r.shard]] = np.frombuffer(r.bits, np.uint64)
+        sent = spark.sparkContext.broadcast((lengths, joined))
+        del joined
     id_kind = dict(df.dtypes)[id_col]
     chunk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(chunks)).cast("int")
     dealt = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"), chunk.alias("chunk")).repartition(chunks, "chunk")

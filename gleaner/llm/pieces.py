@@ -17,7 +17,7 @@ import regex
 from gleaner.llm.common import LOWER, SOLID, Words, span_hashes
 
 #: Pieces that a worker keeps.
-KEPT = 3_000_000
+KEPT = 1_500_000
 #: Classes of bytes: white space, letters, digits, other ASCII, and what only the pattern itself can split.
 SPACE, LETTER, DIGIT, OTHER, HARD = range(5)
 _CLASS = np.full(256, OTHER, np.int8)

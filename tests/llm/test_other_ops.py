@@ -1,5 +1,6 @@
 """op3 to op8 and the pipeline against brute force, and edge cases."""
 
+import itertools
 import math
 import random
 import re
@@ -314,6 +315,59 @@ def test_audio_column(spark):
     assert abs(links.first().offset) == 20 and links.first().error == 0.0
 
 
+def test_audio_counts_every_link(spark):
+    r = np.random.default_rng(5)
+    tune = r.integers(0, 12, 150)
+    media = []
+    for _ in range(3):
+        x = tune.copy()
+        x[r.integers(0, 150)] = r.integers(0, 12)
+        media.append(bytearray(audio_match.notes()[x].tobytes()))
+    for n in (1, 3):
+        rows, _ = audio_match.align(spark.createDataFrame([*enumerate(media)], "rec long, media binary").repartition(n), "rec", "media")
+        assert {x.id: x.n_links for x in rows.collect()} == {0: 2, 1: 2, 2: 2}
+
+
+def brute_links(prints):
+    """(a, b) of all pairs of distinct fingerprints that link."""
+    out = set()
+    marks = {n: audio_match.landmarks(np.frombuffer(x, "<u4")) for n, x in prints.items()}
+    for a, b in itertools.combinations(sorted(prints), 2):
+        first = {}
+        for k, p in zip(*marks[a], strict=True):
+            first.setdefault(int(k), int(p))
+        count = Counter(int(p) - first[int(k)] for k, p in zip(*marks[b], strict=True) if int(k) in first)
+        told = {d: audio_match.errors(prints[a], prints[b], d) for d in count}
+        best = max(((n, d) for d, n in count.items() if told[d][0] >= audio_match.SHARE), default=(0, 0))
+        if best[0] >= audio_match.VOTES and told[best[1]][1] <= audio_match.ERRORS:
+            out.add((a, b))
+    return out
+
+
+@pytest.mark.parametrize("most, size", [(64, 256), (3, 4)])
+def test_audio_links_are_all_pairs(spark, most, size):
+    r = np.random.default_rng(11)
+    prints = {}
+    for _ in range(4):  # near copies, and others that share one passage with them
+        base = r.integers(0, 2**32, 80, np.uint32)
+        for k in range(9):
+            x = base[r.integers(0, 8) :].copy()
+            x[r.integers(0, len(x), 12)] = r.integers(0, 2**32, 12, np.uint32)
+            if k > 6:
+                x[30:] = r.integers(0, 2**32, len(x) - 30, np.uint32)
+            prints[int(r.integers(-(2**62), 2**62))] = x.astype("<u4").tobytes()
+    want = brute_links(prints)
+    assert len(want) > 4 * 15
+    for n in (1, 5):
+        nodes = spark.createDataFrame([(k, bytearray(v)) for k, v in prints.items()], "node long, ints binary").repartition(n)
+        tree, each, found = audio_match.links(nodes, most, size)
+        assert sorted((x.a, x.b) for x in found.collect()) == sorted(want)
+        assert {x.node: x.n_links for x in each.collect()} == dict(Counter(itertools.chain(*want)))
+        groups = lambda edges: find_components(prints, edges)
+        same = lambda c: sorted(sorted(k for k in c if c[k] == v) for v in set(c.values()))
+        assert same(groups([(x.a, x.b) for x in tree.collect()])) == same(groups(want))
+
+
 # pipeline
 
 

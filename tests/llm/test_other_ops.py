@@ -328,6 +328,14 @@ def test_audio_counts_every_link(spark):
         assert {x.id: x.n_links for x in rows.collect()} == {0: 2, 1: 2, 2: 2}
 
 
+def test_op8_hears_every_word(spark, tables):
+    words = [f"{'abcdefghij'[i % 10]}{i * 7919 % 1000}" for i in range(40)]
+    docs = [" ".join(words[:6]), " ".join(words[:6]), " ".join(words[6:12]), " ".join(words), " ".join([*words[:39], "zebra"]), "", ""]
+    rows = {x.doc_id: x for x in audio_match.op8_audio_match(spark, tables(docs)).collect()}
+    assert [rows[i].component_id for i in range(7)] == [0, 0, 2, 3, 3, 5, 6]
+    assert rows[3].n_frames == 40 and [rows[i].n_links for i in range(7)] == [0, 0, 0, 1, 1, 0, 0]
+
+
 def brute_links(prints):
     """(a, b) of all pairs of distinct fingerprints that link."""
     out = set()
@@ -339,7 +347,7 @@ def brute_links(prints):
         count = Counter(int(p) - first[int(k)] for k, p in zip(*marks[b], strict=True) if int(k) in first)
         told = {d: audio_match.errors(prints[a], prints[b], d) for d in count}
         best = max(((n, d) for d, n in count.items() if told[d][0] >= audio_match.SHARE), default=(0, 0))
-        if best[0] >= audio_match.VOTES and told[best[1]][1] <= audio_match.ERRORS:
+        if best[0] >= min(audio_match.VOTES, len(marks[a][0]), len(marks[b][0])) and best[0] and told[best[1]][1] <= audio_match.ERRORS:
             out.add((a, b))
     return out
 
@@ -356,6 +364,12 @@ def test_audio_links_are_all_pairs(spark, most, size):
             if k > 6:
                 x[30:] = r.integers(0, 2**32, len(x) - 30, np.uint32)
             prints[int(r.integers(-(2**62), 2**62))] = x.astype("<u4").tobytes()
+    short = r.integers(0, 2**32, 5, np.uint32)
+    place = audio_match.landmarks(short)[1][0]
+    for k in {*range(5)} - {place, place + 1}:  # one landmark
+        x = short.copy()
+        x[k] ^= 1
+        prints[int(r.integers(-(2**62), 2**62))] = x.tobytes()
     want = brute_links(prints)
     assert len(want) > 4 * 15
     for n in (1, 5):

@@ -4,8 +4,9 @@ For each language a suffix automaton of labelled text accepts every substring of
 greedily into the longest phrases that the automaton accepts; a phrase costs the logarithm of the
 labelled text's length, and the language that needs the fewest bits a byte wins (ties: the name
 that sorts first). All automata are flat transition tables, and the parse runs over thousands of
-pieces of text in step, so a byte costs a few array operations. Whole texts are parsed, in pieces of
-LANE bytes that each start a phrase.
+lanes (LANE bytes of a text) in step, so a byte costs a few array operations. Lanes do not cut phrases: each is
+first parsed as if a phrase began with it, then again from the state in which the lane before ends, until both
+parses stand in one state; from there on they are the same. The result is the parse of the whole text.
 
 Defined results: null text, or text without a letter, gives ``und`` with score 0. With one learned
 language the score is 1 minus its bits a byte over 8. Otherwise it is 1 minus the ratio of the best
@@ -20,7 +21,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +29,7 @@ from gleaner.llm.common import LOWER, documents, slices, text_buffer
 
 #: Bounds of the labelled sample: documents and characters for each language.
 TRAIN_DOCS, TRAIN_CHARS = 60, 40_000
-#: Bytes of a piece of text.
+#: Bytes of a text that one lane holds; no result depends on it.
 LANE = 512
 _LETTER = regex.compile(r"\p{L}")
 #: Symbols: 0 for all but letters, 1 to 26 for a-z, 27 to 154 for the other bytes, and padding.
@@ -102,17 +103,41 @@ class Parser:
         self.table = table.ravel()
         self.cost = float(np.log2(max(2, len(data))))
 
-    def phrases(self, pieces: np.ndarray) -> np.ndarray:
-        """pieces: symbols, a row for each step and a column for each piece; 255 is padding."""
+    def phrases(self, lanes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Phrases that end in each lane. lanes: symbols, a row for each step and a column for each lane, 255 is padding;
+        first: whether a text begins with the lane (the others go on with the text of the lane before)."""
         code = self.code.copy()
         code[255] = self.pad
-        state = np.zeros(pieces.shape[1], np.uint32)
-        count = np.zeros(pieces.shape[1], np.uint32)
-        for row in pieces:
+        low = np.uint32(0x3FFFFFFF)
+        state, count = np.zeros(lanes.shape[1], np.uint32), np.zeros(lanes.shape[1], np.int64)
+        for row in lanes:
             entry = self.table.take(state + code.take(row))
             count += entry >> np.uint32(30)
-            state = entry & np.uint32(0x3FFFFFFF)
-        return count + (state > 0)
+            state = entry & low
+        own, total = state, count.copy()  # state: where each lane ends, as known so far
+        state = own.copy()
+        entered = np.zeros_like(own)  # the state in which a lane was last entered
+        while True:
+            enters = np.where(first, np.uint32(0), np.append(np.uint32(0), state[:-1]))
+            live = np.flatnonzero(enters != entered)
+            if not len(live):
+                break
+            entered[live] = enters[live]
+            total[live], state[live] = count[live], own[live]
+            mine, other = np.zeros(len(live), np.uint32), enters[live]
+            for step, row in enumerate(lanes):
+                symbol = code.take(row.take(live))
+                here, there = self.table.take(mine + symbol), self.table.take(other + symbol)
+                total[live] += (there >> np.uint32(30)).astype(np.int64) - (here >> np.uint32(30))
+                mine, other = here & low, there & low
+                if step % 8 == 7 or step == len(lanes) - 1:
+                    apart = mine != other
+                    live, mine, other = live[apart], mine[apart], other[apart]
+                    if not len(live):
+                        break
+            state[live] = other
+        last = np.append(first[1:], True) if len(first) else first
+        return total + (last & (state > 0))
 
 
 class Languages:
@@ -134,9 +159,10 @@ class Languages:
         steps = np.arange(LANE)[:, None]
         at = np.where(steps < length, start + steps, len(data))
         pieces = symbols[at]
+        begins = np.append(True, doc[1:] != doc[:-1])[: len(doc)]
         out = np.zeros((len(sizes), len(self.parsers)))
         for i, parser in enumerate(self.parsers):
-            got = np.concatenate([[0], np.cumsum(parser.phrases(pieces))])
+            got = np.concatenate([[0], np.cumsum(parser.phrases(pieces, begins))])
             out[:, i] = (got[first[1:]] - got[first[:-1]]) * parser.cost / np.maximum(sizes, 1)
         return out
 
@@ -151,27 +177,18 @@ def fit_languages(
 ) -> tuple[tuple[str, str], ...]:
     """(language, text) pairs from a bounded sample of doc_id, text, lang rows.
 
-    For each language the ``docs`` documents of smallest hashed id give an equal share of ``chars``
-    characters; what reaches the driver is bounded by languages x chars.
+    For each language the ``docs`` documents of smallest hashed id that have a text give ``chars // docs`` characters
+    each; what reaches the driver is bounded by languages x chars. One scan; each task sends at most ``docs``
+    rows of a language. Rows that repeat an id and text use up places.
     """
-    known = labelled.where("lang IS NOT NULL AND doc_id IS NOT NULL")
-    names = sorted(r[0] for r in known.select("lang").distinct().collect())
-    ids: set[int] = set()
-    for name in names:
-        near = known.where(F.col("lang") == name).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
-        ids.update(r[0] for r in near.limit(docs).collect())
-    share = max(1, chars // docs)
-    rows = (
-        known.where(F.col("doc_id").isin(sorted(ids)) & F.col("text").isNotNull())
-        .select("lang", "doc_id", F.substring("text", 1, 4 * share).alias("text"))
-        .dropDuplicates(["doc_id"])
-        .orderBy(F.xxhash64("doc_id"))
-        .collect()
-    )
-    texts: dict[str, str] = {}
-    for row in rows:
-        texts[row.lang] = (texts.get(row.lang, "") + " " + row.text)[:chars]
-    return tuple((name, texts[name]) for name in names if texts.get(name, "").strip())
+    known = labelled.where("lang IS NOT NULL AND doc_id IS NOT NULL AND trim(text) <> ''")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    some = known.select("lang", "doc_id", F.substring("text", 1, max(1, chars // docs)).alias("text"))
+    rows = some.withColumn("place", F.row_number().over(order)).where(F.col("place") <= docs)
+    texts: dict[str, list] = {}
+    for row in rows.orderBy("lang", "place").collect():
+        texts.setdefault(row.lang, []).append(row.text)
+    return tuple((name, " ".join(found)) for name, found in sorted(texts.items()))
 
 
 def identify(

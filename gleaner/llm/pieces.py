@@ -2,8 +2,9 @@
 
 White space separates chunks, and in plain ASCII the words of the vocabulary's pattern are runs of letters,
 single digits and runs of other signs, none of which depends on what stands beside it; a chunk with an apostrophe
-or other bytes is one piece. Pieces are found and told apart by vectorised passes over the bytes, equal ones by a
-64-bit hash; only pieces not seen before become strings. What is kept is bounded (KEPT).
+or other bytes is one piece. Pieces are found and told apart by vectorised passes over the bytes: equal ones by a
+64-bit hash, then by their bytes. Only pieces not seen before become strings. What is kept is bounded (KEPT, and
+KEPT_BYTES of their spelling).
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ import unicodedata
 import numpy as np
 import regex
 
-from gleaner.llm.common import LOWER, SOLID, Words, span_hashes
+from gleaner.llm.common import LOWER, SOLID, Words, distinct_spans, same_spans
 
-#: Pieces that a worker keeps.
-KEPT = 1_500_000
+#: Pieces that a worker keeps, and the bytes that spell them.
+KEPT, KEPT_BYTES = 1_500_000, 24 << 20
 #: Classes of bytes: white space, letters, digits, other ASCII, and what only the pattern itself can split.
 SPACE, LETTER, DIGIT, OTHER, HARD = range(5)
 _CLASS = np.full(256, OTHER, np.int8)
@@ -42,9 +43,11 @@ class Pieces:
         self.clear()
 
     def clear(self) -> None:
-        """Nothing is kept: the sorted hashes of pieces, and where in the ids each begins and how many it has."""
-        self.known, self.begin = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        """Nothing is kept: the sorted hashes of pieces, where each is spelled, and where in the ids it begins and how many it has."""
+        self.known, self.begin = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.size, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.spelled, self.length = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.bytes = np.zeros(0, np.uint8)
 
     def whole(self, text: str) -> np.ndarray:
         """The ids of any text."""
@@ -106,23 +109,42 @@ class Pieces:
             data = LOWER[data]
             raw = data.tobytes()
             starts, ends, first = self.spans(data, offsets)
-        unique, at, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        unique, at, which = distinct_spans(data, starts, ends)
+        first_byte, length = starts[at], (ends - starts)[at]
         near = np.searchsorted(self.known, unique)
-        new = np.ones(len(unique), bool)
+        begin, size = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int64)
+        new, alien = np.ones(len(unique), bool), np.zeros(len(unique), bool)
         if len(self.known):
-            new = self.known[np.minimum(near, len(self.known) - 1)] != unique
-        if new.any():
-            texts = [raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)]
-            ids = [self.whole(t) for t in texts] if marked else self.fresh(texts)
-            size = np.array([len(x) for x in ids], np.int32)
-            self.begin = np.insert(self.begin, near[new], len(self.ids) + np.cumsum(size) - size)
-            self.size = np.insert(self.size, near[new], size)
-            self.known = np.insert(self.known, near[new], unique[new])
-            self.ids = np.concatenate([self.ids, *ids])
-            near = np.searchsorted(self.known, unique)
-        begin, n = self.begin[near][which], self.size[near][which].astype(np.int64)
+            held = np.minimum(near, len(self.known) - 1)
+            new = self.known[held] != unique
+            alien = ~new & (self.length[held] != length)
+            same = np.flatnonzero(~new & ~alien)
+            alien[same] = ~same_spans(data, first_byte[same], self.bytes, self.spelled[held[same]].astype(np.int64), length[same])
+            begin, size = self.begin[held].astype(np.int64), self.size[held].astype(np.int64)
+        # of pieces that share a hash one is kept, the others are encoded each time
+        fresh = new | alien
+        later = np.flatnonzero(new)
+        new[later[np.setdiff1d(np.arange(len(later)), np.unique(unique[later], return_index=True)[1])]] = False
+        ids = self.ids
+        if fresh.any():
+            texts = [raw[a:b].decode() for a, b in zip(first_byte[fresh].tolist(), (first_byte + length)[fresh].tolist(), strict=True)]
+            got = [self.whole(t) for t in texts] if marked else self.fresh(texts)
+            size[fresh] = [len(x) for x in got]
+            begin[fresh] = len(ids) + np.cumsum(size[fresh]) - size[fresh]
+            ids = np.concatenate([ids, *got])
+        n = size[which]
         before = np.concatenate([[0], np.cumsum(n)])
-        out = self.ids[np.repeat(begin - before[:-1], n) + np.arange(before[-1])]
-        if marked or len(self.known) > KEPT:
+        out = ids[np.repeat(begin[which] - before[:-1], n) + np.arange(before[-1])]
+        if marked or len(self.known) + new.sum() > KEPT or len(self.bytes) + length[new].sum() > KEPT_BYTES:
             self.clear()
+        elif new.any():
+            order = np.flatnonzero(new)[np.argsort(unique[new])]
+            spelling = length[order]
+            inside = np.repeat(first_byte[order] - np.cumsum(spelling) + spelling, spelling) + np.arange(spelling.sum())
+            place = near[order]
+            self.spelled = np.insert(self.spelled, place, len(self.bytes) + np.cumsum(spelling) - spelling)
+            self.bytes = np.concatenate([self.bytes, data[inside]])
+            for name, values in (("known", unique), ("begin", begin), ("size", size), ("length", length)):
+                setattr(self, name, np.insert(getattr(self, name), place, values[order]))
+            self.ids = ids
         return out, np.diff(before[first])

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from gleaner.llm import langid, license_scan, simhash
+from gleaner.llm import common, langid, license_scan, simhash
 from gleaner.llm.bpe import Bpe, bpe_decode, bpe_encode, op9_bpe
 from gleaner.llm.common import ALNUM, LOWER, SOLID, Words, byte_class, grams, slices, text_buffer
 from gleaner.llm.graph import components
@@ -212,6 +212,28 @@ def test_pieces_are_the_librarys(library, texts):
         assert ids.tolist() == [i for x in want for i in x] and n.tolist() == [len(x) for x in want]
 
 
+def thue_morse(n, letters):
+    return "".join(letters[i.bit_count() % 2] for i in range(n))
+
+
+def test_pieces_of_one_hash_are_told_apart(library, monkeypatch):
+    r = random.Random(1)
+    texts = [thue_morse(n, x) for n in (7, 8, 9, 255, 256, 257, 1024, 2048, 4096) for x in ("ab", "ba")]
+    texts += [" ".join("".join(r.choice("abcdeé'.,9") for _ in range(r.randrange(1, 12))) for _ in range(40)) for _ in range(30)] + ["", "<|endoftext|> x"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    plain = common.span_hashes
+    for bits in (64, 4, 0):
+        monkeypatch.setattr(common, "span_hashes", lambda *a, bits=bits, **k: plain(*a, **k) & np.uint64((1 << bits) - 1))
+        for kind in (Bpe, Encoder):
+            coder = kind(public_tokenizers.path("word_bpe_49k.json"))
+            for step in (1, 9, len(texts)) * 2:
+                got = []
+                for i in range(0, len(texts), step):
+                    ids, n = coder.encode_bytes(*text_buffer(pa.array(texts[i : i + step])))
+                    got += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+                assert got == want
+
+
 def test_op9(spark, tables, library):
     docs = [(i, x) for i, x in enumerate([*ODD, "Thatiin lyor. É ñandú", "aaaa" * 50])] + [(None, "x"), (0, "twice")]
     rows = op9_bpe(spark, tables(docs, ids=[7] * len(docs), decoded=["x"] * len(docs))).collect()
@@ -234,26 +256,26 @@ def test_bpe_operators_keep_columns(spark, tables):
 
 
 def phrases(text, sample):
-    """Longest-match parsing as defined, by substring search, in pieces."""
-    count = 0
+    """Longest-match parsing of the whole text as defined, by substring search."""
+    count = i = 0
     code = lambda s: "".join(c if c.isalpha() else " " for c in s.lower())
     text, sample = code(text), code(sample)
-    for at in range(0, len(text), langid.LANE):
-        piece = text[at : at + langid.LANE]
-        i = 0
-        while i < len(piece):
-            n = 1
-            while i + n <= len(piece) and piece[i : i + n] in sample:
-                n += 1
-            i += max(1, n - 1)
-            count += 1
+    while i < len(text):
+        n = 1
+        while i + n <= len(text) and text[i : i + n] in sample:
+            n += 1
+        i += max(1, n - 1)
+        count += 1
     return count
 
 
-def test_phrase_counts_are_longest_matches():
+@pytest.mark.parametrize("lane", [3, 64, 512])
+def test_phrase_counts_are_longest_matches(monkeypatch, lane):
+    monkeypatch.setattr(langid, "LANE", lane)
     r = random.Random(4)
     sample = "".join(r.choice("abcd ef") for _ in range(400))
     texts = ["".join(r.choice("abcd efxz") for _ in range(n)) for n in (0, 1, 5, 100, 511, 512, 513, 1500)]
+    texts += [sample, sample[7:] + sample[:90], sample[3:200] * 4, ""]  # phrases longer than a lane
     learned = langid.Languages((("l", sample),))
     data, offsets = text_buffer(pa.array(texts))
     costs = learned.costs(data, offsets)[:, 0]
@@ -261,6 +283,13 @@ def test_phrase_counts_are_longest_matches():
     assert [round(c * max(1, len(t)) / cost) for c, t in zip(costs, texts)] == [phrases(t, sample) for t in texts]
 
 
+def test_languages_are_learned_from_texts_alone(spark):
+    rows = [(i, None if i % 2 else "", "aa") for i in range(200)] + [(200 + i, f"balona {i} " * 50, "aa") for i in range(9)] + [(300, "krz", "bb"), (301, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = dict(langid.fit_languages(df, docs=5, chars=100))
+    assert [*learned] == ["aa", "bb"] and len(learned["aa"]) == 5 * 20 + 4 and learned["bb"] == "krz"
+
+
 def test_op10(spark, tables):
     r = random.Random(6)
     made = {"aa": ["ba", "na", "lo", "mi"], "bb": ["ströh", "krz", "pf", "enz"], "cc": ["què", "ñu", "sí", "tor"]}

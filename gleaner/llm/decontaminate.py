@@ -1,26 +1,27 @@
 """Benchmark decontamination by CGK embedding, bit-sampling LSH and exact edit verification.
 
-A benchmark item and each window of a document are sequences of symbols (SYMBOL consecutive words). A
-CGK walk reads a sequence with one pointer: at step j it puts out the symbol under the pointer, which
-then stays or moves on by a random bit of (j, symbol). Sequences a few edits apart put out mostly equal
-symbols, so their edit distance becomes a Hamming distance, and a sample of the walk's coordinates
-is an LSH key. Each of REPEATS walks starts at another place of the item (the window starts as far
-into the passage), with coordinates of its own: coordinate 0 and two later ones. Windows of every word
-of every document are compared; those whose first sampled coordinate no item has end there, so only
-few walk on. An item that ends before a coordinate is keyed by those before it. Every candidate is
-then verified: the least number of word edits that turns the item into some passage around the
-window (bit-parallel, exact) must be at most 1 - SIMILARITY of the item's words.
-
-With SYMBOL 3 and REPEATS 32 a passage with a tenth of its words edited is found with probability above
-0.99, and one with a fifth edited above 0.9; an exact passage is always found (see tests).
+A benchmark item and each window of a document are sequences of symbols (SYMBOL consecutive words; single words for items
+of 5 to SHORT - 1 words). A CGK walk reads a sequence with one pointer: at step j it puts out the symbol under the pointer,
+which then stays or moves on by a random bit of (j, symbol). Sequences a few edits apart put out mostly equal symbols, so
+their edit distance becomes a Hamming distance, and a sample of the walk's coordinates is an LSH key. Each of REPEATS walks
+starts at another place of the item (the window starts as far into the passage), with coordinates of its own: coordinate 0
+and two later ones (short items: one). The walks of the last third are as long as the item (twice its symbols, rounded up to
+a power of two); the others sample their first NEAR steps, which many edits leave alone. Windows of every word of every
+document are compared; those whose first sampled coordinate no item has end there, so only few walk on. An item that ends
+before a coordinate is keyed by those before it. Every candidate is then verified: the least number of word edits that
+turns the item into some passage around the window (bit-parallel, exact) must be at most 1 - SIMILARITY of the item's words.
+
+An exact passage is always found; for the share of edited ones by length see the README and the tests.
 
 Null or empty texts and items match nothing. Ties: of overlapping places of an item the one with fewer
-edits, then the earlier, is given. Repeated rows each give their own rows. Items reach the workers in
-rounds of up to ITEM_BYTES of text; each round is a pass over the documents.
+edits, then the earlier, is given. Repeated rows each give their own rows; a null id is kept as null; other columns are
+never read. Items reach the workers in rounds of up to ITEM_BYTES of text, one round at a time; each is a pass over the
+documents, and what it gives is stored if there is more than one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache, reduce
 from math import ceil
 
@@ -29,9 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import ALNUM, LOWER, Words, documents, grams, mix, slices, text_buffer
+from gleaner.llm.common import ALNUM, LOWER, Words, documents, grams, mix, slices, stored, text_buffer
 
-SYMBOL, REPEATS, STEPS, SIMILARITY = 3, 32, 24, 0.8
+SYMBOL, SIMILARITY = 3, 0.8
+#: Items of fewer words are read word by word.
+SHORT = 12
+#: Walks, and the steps that those of the first two thirds sample.
+REPEATS, NEAR = 48, 24
 ITEM_BYTES = 8 << 20
 #: Leading bits by which most windows are put aside.
 SIEVE_BITS = 18
@@ -43,10 +48,20 @@ def walk_bits(symbols: np.ndarray, repeat: int, step: int) -> np.ndarray:
     return ((symbols * key) >> np.uint64(63)).astype(np.int64)
 
 
-def coordinates(repeat: int) -> list[int]:
-    """The sampled steps of a walk."""
+def coordinates(repeat: int, steps: int) -> list[int]:
+    """The sampled steps of a walk over so many steps; 0: over single words."""
     a, b = mix(np.array([2 * repeat + 1, 2 * repeat + 2], np.uint64)).tolist()
-    return [0, 1 + a % (STEPS // 3), STEPS // 3 + 1 + b % (STEPS - STEPS // 3)]
+    if not steps:
+        return [0, 1 + a % 5]
+    return [0, 1 + a % (steps // 3), steps // 3 + 1 + b % (steps - steps // 3)]
+
+
+def shape(words: int, repeat: int) -> tuple[int, int]:
+    """Words of a symbol, and steps, of an item's walk."""
+    if 5 <= words < SHORT:
+        return 1, 0
+    size = min(SYMBOL, words)
+    return size, NEAR if repeat < 2 * REPEATS // 3 else max(NEAR, 1 << (2 * (words - size + 1) - 1).bit_length())
 
 
 def join_key(keys: np.ndarray, symbols: np.ndarray) -> np.ndarray:
@@ -100,43 +115,53 @@ class Lsh:
 
     def __init__(self, items: tuple):
         self.items: list[Item] = []
-        # (symbol size, repeat) -> level -> key -> [(item, words from the passage's start to the window's)]
-        self.tables: dict[tuple[int, int], list[dict[int, list]]] = {}
+        # (symbol size, steps, repeat) -> level -> key -> [(item, words from the passage's start to the window's)]
+        self.tables: dict[tuple[int, int, int], list[dict[int, list]]] = {}
         for item_id, text in items:
             data = LOWER[np.frombuffer((text or "").encode(), np.uint8)]
             hashes = Words(data, np.array([0, len(data)]), ALNUM).hashes
             if not len(hashes):
                 continue
-            number = len(self.items)
             self.items.append(Item(item_id, hashes))
-            k = min(SYMBOL, len(hashes))
-            symbols = grams(hashes, k)
+            symbols = {k: grams(hashes, k) for k in {shape(len(hashes), r)[0] for r in range(REPEATS)}}
             for repeat in range(REPEATS):
-                begin = repeat * (len(symbols) - 1) // REPEATS
-                tables = self.tables.setdefault((k, repeat), [{}, {}, {}])
-                at, key, step, chosen = begin, np.zeros(1, np.uint64), 0, coordinates(repeat)
-                level = -1
-                while at < len(symbols) and level < 2:
-                    if step == chosen[level + 1]:
-                        level += 1
-                        key = join_key(key, symbols[at : at + 1])
-                        tables[level].setdefault(int(key[0]), [])
-                    at += int(walk_bits(symbols[at : at + 1], repeat, step)[0])
-                    step += 1
-                tables[level][int(key[0])].append((number, begin))
+                k, steps = shape(len(hashes), repeat)
+                self.add(len(self.items) - 1, symbols[k], k, steps, repeat)
         # coordinate 0 has the same key in every walk
+        self.walks = sorted(self.tables)
         self.sieve: dict[int, np.ndarray] = {}
         self.first: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for k in {k for k, _ in self.tables}:
-            pairs = sorted((key, r) for (size, r), t in self.tables.items() if size == k for key in t[0])
+        for k in {w[0] for w in self.walks}:
+            pairs = sorted((key, n) for n, w in enumerate(self.walks) if w[0] == k for key in self.tables[w][0])
             keys = np.array([p[0] for p in pairs], np.uint64)
             self.first[k] = keys, np.array([p[1] for p in pairs], np.int64)
             self.sieve[k] = np.zeros(1 << SIEVE_BITS, bool)
             self.sieve[k][(keys >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)] = True
+        self.wanted = {w: [np.fromiter(t, np.uint64, len(t)) for t in tables] for w, tables in self.tables.items()}
+
+    def add(self, number: int, symbols: np.ndarray, k: int, steps: int, repeat: int) -> None:
+        """The keys of an item's walk."""
+        chosen = coordinates(repeat, steps)
+        # walks over single words start at every word but the last
+        begin = repeat % (len(symbols) - 1) if not steps else repeat * (len(symbols) - 1) // REPEATS
+        at, key, step, level, made = begin, np.zeros(1, np.uint64), 0, -1, []
+        while at < len(symbols) and level < len(chosen) - 1:
+            if step == chosen[level + 1]:
+                level += 1
+                key = join_key(key, symbols[at : at + 1])
+                made.append(int(key[0]))
+            at += int(walk_bits(symbols[at : at + 1], repeat, step)[0])
+            step += 1
+        if not steps and (level < 1 or at == begin):
+            return  # a single word says too little; other walks go further
+        tables = self.tables.setdefault((k, steps, repeat), [{}, {}, {}])
+        for level, key in enumerate(made):
+            tables[level].setdefault(key, [])
+        tables[len(made) - 1][made[-1]].append((number, begin))
 
     def candidates(self, hashes: np.ndarray):
         """(word, item, words before it in the passage) of windows that share a key with an item."""
-        for k, (keys, repeats) in self.first.items():
+        for k, (keys, numbers) in self.first.items():
             symbols = grams(hashes, k)
             start = join_key(np.zeros(1, np.uint64), symbols)
             near = np.flatnonzero(self.sieve[k][(start >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)])
@@ -144,20 +169,25 @@ class Lsh:
             near, low, count = near[high > low], low[high > low], (high - low)[high > low]
             window = np.repeat(near, count)
             entry = np.repeat(low - np.concatenate([[0], np.cumsum(count)])[:-1], count) + np.arange(len(window))
-            walk = repeats[entry]
-            for repeat in np.unique(walk).tolist():
-                tables, own = self.tables[k, repeat], window[walk == repeat]
-                chosen, at, key = coordinates(repeat), own.copy(), start[own]
-                for level in range(3):
+            walk = numbers[entry]
+            order = np.argsort(walk, kind="stable")
+            edges = np.searchsorted(walk[order], np.arange(len(self.walks) + 1))
+            for number in np.unique(walk).tolist():
+                _, steps, repeat = self.walks[number]
+                tables, wanted = self.tables[self.walks[number]], self.wanted[self.walks[number]]
+                own = window[order[edges[number] : edges[number + 1]]]
+                chosen, at, key = coordinates(repeat, steps), own.copy(), start[own]
+                for level in range(len(chosen)):
                     if level:
                         for step in range(chosen[level - 1], chosen[level]):
                             at = at + walk_bits(symbols[at], repeat, step)
                             inside = at < len(symbols)
                             own, at, key = own[inside], at[inside], key[inside]
                         key = join_key(key, symbols[at])
-                        wanted = np.fromiter(tables[level], np.uint64, len(tables[level]))
-                        some = np.isin(key, wanted)
+                        some = np.isin(key, wanted[level])
                         own, at, key = own[some], at[some], key[some]
+                    if not len(own):
+                        break
                     for word, found in zip(own.tolist(), key.tolist(), strict=True):
                         for item, begin in tables[level].get(found, ()):
                             yield word, item, begin
@@ -187,13 +217,13 @@ class Lsh:
                     yield doc, item, a - low, b - low, edits
 
 
-def rounds_of(items: DataFrame) -> list[tuple]:
-    """The items (item_id, text) in groups of up to ITEM_BYTES; each group is one pass over the documents."""
+def rounds_of(items: DataFrame, most: int) -> tuple[int, Iterator[tuple]]:
+    """How many rounds there are, and the items (item_id, text) of each, up to about most bytes, when it is asked for."""
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    rounds = max(1, ceil(size / ITEM_BYTES))
+    rounds = max(1, ceil(size / most))
     group = F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds))
-    found = [items.select("item_id", "text").where(group == n).collect() for n in range(rounds)]
-    return [tuple(sorted((tuple(r) for r in rows), key=str)) for rows in found]
+    each = (items.select("item_id", "text").where(group == n).collect() for n in range(rounds))
+    return rounds, (tuple(sorted((tuple(r) for r in rows), key=str)) for rows in each)
 
 
 def found_in(index: Lsh, column: pa.Array):
@@ -208,7 +238,7 @@ def found_in(index: Lsh, column: pa.Array):
             yield i + doc, item, a, b, edits, raw.decode(errors="replace")
 
 
-def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
     """id, item_id, start_word, end_word, edits, similarity and passage of every item's places in the texts.
 
     items: item_id and text.
@@ -233,10 +263,12 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
 
         return df.select(F.col(id_col).alias("id"), text).mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionByName, map(scan, rounds_of(items)))
+    rounds, each = rounds_of(items, item_bytes)
+    keep = (lambda x: x) if rounds == 1 else (lambda x: stored(x, "places"))
+    return reduce(DataFrame.unionByName, (keep(scan(some)) for some in each))
 
 
-def decontaminate(df: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+def decontaminate(df: DataFrame, items: DataFrame, text: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
     """The rows of df, with all their columns, whose text holds no item."""
 
     def clean(df: DataFrame, some: tuple) -> DataFrame:
@@ -248,7 +280,10 @@ def decontaminate(df: DataFrame, items: DataFrame, text: str = "text") -> DataFr
 
         return df.mapInArrow(run, df.schema)
 
-    return reduce(clean, rounds_of(items), df)
+    rounds, each = rounds_of(items, item_bytes)
+    for some in each:
+        df = clean(df, some) if rounds == 1 else stored(clean(df, some), "clean")
+    return df
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

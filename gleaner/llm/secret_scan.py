@@ -6,6 +6,8 @@ described by its length, character transitions, dictionary coverage, path and ne
 is trained once from labelled findings (labelled_findings, LABELLED rows made by rule) and reaches the plan as
 CASE expressions; a finding is kept if at least half of the trees vote for it.
 
+A control character U+0001 counts as two in the shortest value of six characters, and is kept as it is.
+
 Null texts have no findings and stay null when redacted; empty texts stay empty. Repeated rows are scanned one
 by one; an empty table gives no rows. Texts of any length are scanned whole. Columns named like an output are
 replaced.
@@ -26,9 +28,12 @@ from gleaner.llm.common import documents, unused
 
 #: Labelled findings that the forest is trained from, trees and depth.
 LABELLED, TREES, DEPTH = 3000, 15, 7
-#: What a candidate is put between; control characters that no text has in this order.
-MARK = "\x01\x02\x03\x01"
+#: What a candidate is put between. Every ESCAPED of a text is followed by a sign of its own while marks are in it,
+#: so no text holds a mark; pieces get their own signs back.
+ESCAPED, ESCAPE, MARK = "\x01", "\x01\x02", "\x01\x03"
 REDACTED = "[SECRET]"
+#: Pieces whose sizes are summed at once, so that places cost the same in any text.
+BLOCK = 128
 
 _KEYS = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credential"
 _RUN = "[A-Za-z0-9+/_=.~-]"
@@ -164,11 +169,15 @@ def forest(s: Column) -> Column:
 
 def with_pieces(df: DataFrame, text: str, path: str | None) -> tuple[DataFrame, str]:
     """Adds the pieces of the text, struct of value, left and score (null for what is between candidates); and their column."""
-    split = unused(df, "_split")
-    pieces = unused(df, "_pieces")
-    marked = F.regexp_replace(F.col(text), F.lit(PATTERN), F.lit(f"$1{MARK}$2$3{MARK}"))
+    split, pieces = unused(df, "_split"), unused(df, "_pieces")
+    odd = F.contains(text, F.lit(ESCAPED))
+    safe = F.when(odd, F.replace(F.col(text), F.lit(ESCAPED), F.lit(ESCAPE))).otherwise(F.col(text))
+    marked = F.split(F.regexp_replace(safe, F.lit(PATTERN), F.lit(f"$1{MARK}$2$3{MARK}")), MARK)
     where = F.coalesce(F.col(path), F.lit("")) if path else F.lit("")
-    return df.withColumn(split, F.split(marked, MARK)).withColumn(pieces, scored(F.col(split), where)).drop(split), pieces
+    held = df.withColumn(split, marked)
+    own = F.when(odd, F.transform(split, lambda x: F.replace(x, F.lit(ESCAPE), F.lit(ESCAPED)))).otherwise(F.col(split))
+    held = held.withColumn(split, own)
+    return held.withColumn(pieces, scored(F.col(split), where)).drop(split), pieces
 
 
 def scored(pieces: Column, path: Column) -> Column:
@@ -206,14 +215,27 @@ def kind_of(value: Column, left: Column) -> Column:
     )
 
 
+def total(sizes: Column) -> Column:
+    return F.aggregate(sizes, F.lit(0).cast("long"), lambda a, b: a + b)
+
+
+def running(sizes: Column) -> Column:
+    """What stands before each block of BLOCK pieces. sizes: a column, mentioned more than once and so computed once."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(sizes) / BLOCK).cast("int")), lambda b: total(F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK))))
+    return F.aggregate(blocks, F.array(F.lit(0).cast("long")), lambda a, b: F.concat(a, F.array(F.element_at(a, -1) + b)))
+
+
 def find_secrets(df: DataFrame, text: str = "text", path: str | None = None, least: float = 0.5) -> DataFrame:
     """A row for each finding: the other columns of df, and start, value, kind and score."""
     stays = [f"`{c}`" for c in df.columns if c not in (text, "start", "value", "kind", "score")]
-    held, pieces = with_pieces(df, text, path)
-    sizes, one = unused(held, "_sizes"), unused(held, "_found")
-    rows = held.select(*stays, pieces).where(F.size(pieces) > 1).withColumn(sizes, F.transform(pieces, lambda x: F.length(x.value)))
-    # both mentions of the sizes keep them a column of their own, computed once
-    before = lambda i: F.aggregate(F.slice(sizes, F.lit(1), F.least(i, F.size(sizes))), F.lit(0), lambda a, b: a + b)
+    # a filter on the pieces would be pushed below them, and made of them anew
+    held, pieces = with_pieces(df.where(F.col(text).rlike(PATTERN)), text, path)
+    sizes, bases, one = unused(held, "_sizes"), unused(held, "_bases"), unused(held, "_found")
+    rows = held.select(*stays, pieces).withColumn(sizes, F.transform(pieces, lambda x: F.length(x.value)))
+    rows = rows.withColumn(bases, running(F.col(sizes)))
+    # mentioned twice, and so a column of its own that is computed once
+    base = lambda i: F.coalesce(F.get(F.col(bases), F.floor(i / BLOCK).cast("int")), F.get(F.col(bases), F.lit(0)))
+    before = lambda i: base(i) + total(F.slice(sizes, i - i % BLOCK + 1, i % BLOCK))
     found = F.transform(
         pieces,
         lambda x, i: F.when(

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import occurrences, rounded
+from gleaner.functions.text import bound, occurrences, rounded
 from gleaner.registries import (
     ANNOUNCE_CUES,
     BLIND_SPOTS,
@@ -51,10 +51,10 @@ def tokens(text: Column) -> Column:
 
 def ngrams(tokens: Column, n: int) -> Column:
     """Space-joined n-grams whose first and last words are no stop words. tokens: a column."""
-    stop = F.array(*map(F.lit, DICTIONARY_STOPWORDS))
     starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - n + 1)).otherwise(F.array().cast("array<int>"))
-    kept = F.filter(starts, lambda i: ~F.array_contains(stop, F.get(tokens, i - 1)) & ~F.array_contains(stop, F.get(tokens, i + (n - 2))))
-    return F.transform(kept, lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
+    # each token is looked up once
+    kept = lambda stop: F.filter(starts, lambda i: ~(F.get(stop, i - 1) | F.get(stop, i + (n - 2))))
+    return F.transform(bound(F.transform(tokens, is_stop), kept), lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
 
 
 def tokenized(units: DataFrame, panel: str = "source_id") -> DataFrame:
@@ -190,7 +190,7 @@ def examples(units: DataFrame, terms: DataFrame, phrase_list: DataFrame, n: int
     by_term = each.join(F.broadcast(terms.select("term").distinct()), "term")
     wanted = phrase_list.agg(F.collect_set("phrase")).scalar()  # top_k phrases
     found = held.withColumn("wanted", wanted).select(
-        "source_id", "start", "end", "text", F.explode(F.filter("wanted", lambda p: F.contains(F.lower("text"), p))).alias("term")
+        "source_id", "start", "end", "text", F.explode(bound(F.lower("text"), lambda low: F.filter("wanted", lambda p: F.contains(low, p)))).alias("term")
     )
     both = by_term.select(*found.columns).unionByName(found)
     first = Window.partitionBy("term").orderBy("source_id", "start", "end")
@@ -211,6 +211,17 @@ def blind_spots(uni: DataFrame, bigrams: DataFrame, cards: DataFrame, probes: tu
     return found.join(known, "form", "left").select("display", "cause", "form", "count", F.coalesce("known", F.lit(False)).alias("in_dictionary"))
 
 
+def blind_spot_report(found: list[dict], probes: tuple = BLIND_SPOTS, why: dict[str, str] | None = None) -> list[dict]:
+    """Every probe with the forms of it that occur (rows of blind_spots) and, if given for its cause, an explanation."""
+    out = []
+    for display, forms, cause in probes:
+        variants = [{k: r[k] for k in ("form", "count", "in_dictionary")} for f in forms for r in found if (r["display"], r["form"]) == (display, f)]
+        out.append(
+            {"display": display, "cause": cause, "why": (why or {}).get(cause, ""), "variants": variants, "in_dictionary": any(v["in_dictionary"] for v in variants)}
+        )
+    return out
+
+
 def cards(terms: DataFrame, colloc: DataFrame, kwic: DataFrame) -> DataFrame:
     """The top terms with arrays of collocates and of examples."""
     listed = colloc.groupBy("term").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "phrase"))), lambda x: x.phrase).alias("collocates"))

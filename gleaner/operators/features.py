@@ -22,10 +22,9 @@ ABOUT = {
 
 
 def content_words(tokens: Column) -> Column:
-    """Tokens that are neither punctuation alone nor stop words."""
-    stop = F.array(*map(F.lit, FEATURE_STOPWORDS))
-    bare = lambda w: F.lower(F.regexp_replace(w, r"(?U)[^\w]", ""))
-    return F.filter(tokens, lambda w: (bare(w) != "") & ~F.array_contains(stop, bare(w)))
+    """Tokens that are neither punctuation alone nor stop words, in lower case and without punctuation."""
+    bare = F.transform(tokens, lambda w: F.lower(F.regexp_replace(w, r"(?U)[^\w]", "")))
+    return F.filter(bare, lambda w: (w != "") & ~w.isin(*FEATURE_STOPWORDS))
 
 
 def lexical_density(tokens: Column) -> Column:

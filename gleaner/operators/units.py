@@ -36,26 +36,27 @@ def segment(transcripts: DataFrame, context: int = 0, profiled: bool = False) ->
     """
     others = [c for c in transcripts.columns if c != "text"]
     held = transcripts.withColumn("_pieces", sentences(F.col("text"))).withColumn("_starts", running_starts(F.col("_pieces")))
-    more = {}
     if profiled:
         held = held.withColumn("segmentation_quality", _rates(F.col("_pieces"))["segmentation_quality"])
-        more["segmentation_quality"] = F.col("segmentation_quality")
+        others.append("segmentation_quality")
     if context:
         held = held.withColumn("_all", F.transform("_pieces", lambda p: F.ltrim(p)))
-        n, after = F.col("_n"), F.size("_all") - 1 - F.col("_n")
-        more |= {
-            "sentences_before": F.least(n, F.lit(context)),
-            "sentences_after": F.least(after, F.lit(context)),
-            "context_before": F.array_join(F.slice("_all", F.greatest(n - context, F.lit(0)) + 1, F.least(n, F.lit(context))), " "),
-            "context_after": F.array_join(F.slice("_all", n + 2, F.lit(context)), " "),
-        }
-    rows = held.select("*", F.posexplode("_pieces").alias("_n", "_piece"))
-    lead = F.length("_piece") - F.length(F.ltrim("_piece"))
-    at = F.get("_starts", F.col("_n"))
-    spans = rows.select(
-        *others, (at + lead).alias("start"), (at + F.length("_piece")).alias("end"), F.ltrim("_piece").alias("text"), *(c.alias(k) for k, c in more.items())
-    )
-    return spans.where("text <> ''")
+
+    def unit(piece: Column, n: Column) -> Column:
+        end = F.get("_starts", n) + F.length(piece)
+        fields = {"start": end - F.length(F.ltrim(piece)), "end": end, "text": F.ltrim(piece)}
+        if context:
+            before, after = F.least(n, F.lit(context)), F.least(F.size("_all") - 1 - n, F.lit(context))
+            fields |= {
+                "sentences_before": before,
+                "sentences_after": after,
+                "context_before": F.array_join(F.slice("_all", n - before + 1, before), " "),
+                "context_after": F.array_join(F.slice("_all", n + 2, F.lit(context)), " "),
+            }
+        return F.struct(*(c.alias(k) for k, c in fields.items()))
+
+    # only a sentence's own struct goes into its row; the transcript's arrays stay behind
+    return held.select(*others, F.inline(F.filter(F.transform("_pieces", unit), lambda u: u.text != "")))
 
 
 def _rates(pieces: Column) -> Column:

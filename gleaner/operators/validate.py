@@ -139,18 +139,23 @@ def transcript_violations(transcripts: DataFrame, locks: DataFrame) -> DataFrame
 
 def anchor_violations(units: DataFrame, transcripts: DataFrame) -> DataFrame:
     """Units whose span is malformed, out of bounds or not their text, or whose time codes do not parse."""
-    both = units.join(transcripts.select("source_id", F.col("text").alias("_whole")), "source_id", "left")
-    inside = (F.col("start") >= 0) & (F.col("start") < F.col("end")) & (F.col("end") <= F.length("_whole"))
-    part = F.substring("_whole", F.col("start") + 1, F.col("end") - F.col("start"))
-    tests = [
-        F.when(F.col("start").isNull() | F.col("end").isNull(), "malformed char_span")
-        .when(~F.coalesce(inside, F.lit(False)), "char_span out of bounds")
-        .when(~part.eqNullSafe(F.col("text")), "text does not re-resolve at char_span")
-    ]
-    for c in ("tc_start", "tc_end"):
-        if c in units.columns:
-            tests.append(F.when(~F.coalesce(F.col(c).rlike(TIMECODE), F.lit(False)), f"{c} does not parse"))
-    rows = both.withColumn("_wrong", F.explode(F.filter(F.array(*tests), lambda x: x.isNotNull())))
+    codes = [c for c in ("tc_start", "tc_end") if c in units.columns]
+    each = units.groupBy("source_id").agg(F.collect_list(F.struct("unit_id", "start", "end", "text", *codes)).alias("_units"))
+    both = each.join(transcripts.select("source_id", F.col("text").alias("_whole")), "source_id", "left")
+
+    def faults(u: Column) -> Column:
+        inside = (u.start >= 0) & (u.start < u.end) & (u.end <= F.length("_whole"))
+        part = F.substring(F.col("_whole"), u.start + 1, u.end - u.start)
+        tests = [
+            F.when(u.start.isNull() | u.end.isNull(), "malformed char_span")
+            .when(~F.coalesce(inside, F.lit(False)), "char_span out of bounds")
+            .when(~part.eqNullSafe(u.text), "text does not re-resolve at char_span"),
+            *(F.when(~F.coalesce(u[c].rlike(TIMECODE), F.lit(False)), f"{c} does not parse") for c in codes),
+        ]
+        return F.transform(F.filter(F.array(*tests), lambda x: x.isNotNull()), lambda x: F.struct(u.unit_id.alias("unit_id"), x.alias("_wrong")))
+
+    # spans are tried in their transcript's own row: the text is there once, not beside every unit
+    rows = both.select(F.inline(F.flatten(F.transform("_units", faults))))
     return _rows(rows, "anchor", "unit_id", F.col("_wrong"))
 
 
@@ -167,6 +172,50 @@ def vote_violations(votes: DataFrame, units: DataFrame) -> DataFrame:
     return _rows(both.withColumn("_wrong", F.explode(F.filter(tests, lambda x: x.isNotNull()))), "vote", "annotation_id", F.col("_wrong"))
 
 
+#: Fields by which a record could gate what is routed or judged.
+GATING = ("routing", "evidence_ready", "bucket", "rank")
+#: The shape of a feature record; the payload is open.
+FEATURE_SCHEMA = {
+    "type": "object",
+    "additionalProperties": False,
+    "required": ["feature_record_id", "unit_ref", "source_id", "run_id", "scope", "method", "role", "signal_basis", "presentation", "triggered", "payload"],
+    "properties": {
+        "feature_record_id": {"type": "string", "pattern": "^feat_[0-9a-f]{8}$"},
+        "unit_ref": {"type": "string", "pattern": "^unit_"},
+        "candidate_ref": {"type": "string", "pattern": "^cand_[0-9a-f]{8}$"},
+        "source_id": {"type": "string"},
+        "run_id": {"type": "string"},
+        "scope": {"type": "string", "enumRef": "feature_scope"},
+        "method": {
+            "type": "object",
+            "additionalProperties": False,
+            "required": ["stage", "name", "version"],
+            "properties": {"stage": {"type": "string", "const": "enrich"}, "name": {"type": "string"}, "version": {"type": "string"}},
+        },
+        "role": {"type": "string", "enumRef": "feature_role"},
+        "signal_basis": {"type": "string", "enumRef": "feature_signal_basis"},
+        "presentation": {"type": "string", "enumRef": "feature_presentation"},
+        "triggered": {"type": "boolean"},
+        "payload": {"type": "object"},
+    },
+}
+
+
+def gating_violations(records: DataFrame, record: str) -> DataFrame:
+    """Records (variants) that hold a gating field, in themselves or in their payload."""
+    keys = lambda path: F.coalesce(F.json_object_keys(F.to_json(F.try_variant_get(record, path, "variant"))), F.array().cast("array<string>"))
+    found = F.array_intersect(F.concat(keys("$"), keys("$.payload")), F.array(*map(F.lit, GATING)))
+    rows = records.withColumn("_id", F.try_variant_get(record, "$.feature_record_id", "string"))
+    return _rows(rows, "gating", "_id", F.when(F.size(found) > 0, F.concat(F.lit("gating field: "), F.array_join(found, ","))))
+
+
+def feature_violations(records: DataFrame) -> DataFrame:
+    """Feature records (as feature_records makes them) that break the envelope's shape or hold a gating field."""
+    plain = records.select("feature_record_id", F.to_json(F.struct(*records.columns)).alias("value"))
+    parsed = plain.withColumn("_record", F.parse_json("value"))
+    return schema_violations(plain, FEATURE_SCHEMA, "feature_record").unionByName(gating_violations(parsed, "_record"))
+
+
 def candidate_violations(candidates: DataFrame, votes: DataFrame, units: DataFrame) -> DataFrame:
     """Candidates with a bad or repeated id, missing fields, votes that don't resolve, or values that don't derive again."""
     empty = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""

@@ -79,8 +79,8 @@ def judged(results: DataFrame) -> DataFrame:
     return rows.withColumns({"failure_type": failed, "reason": reason, "vote": vote, "takes_number": ~silent & F.col("_vote").isNotNull()}).drop("_parsed", "_vote", "_errors")
 
 
-def vote_records(results: DataFrame, run_id: str, tier: str = "base", recorded: int = 0) -> DataFrame:
-    """Valid votes as records. Numbers go on from those recorded, in order of lane, source and candidate."""
+def numbered(results: DataFrame, recorded: int = 0) -> DataFrame:
+    """Results with seq, the running number of replies that parse (null for others)."""
     numbered = results.where("takes_number").withColumn("_part", F.pmod(F.xxhash64("lane", "pack_id"), F.lit(64)))
     # running numbers without one task for all: counts of the parts before, then numbers within a part
     parts = numbered.groupBy("lane", "_part").agg(F.count("*").alias("_n"))
@@ -88,7 +88,14 @@ def vote_records(results: DataFrame, run_id: str, tier: str = "base", recorded:
     parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     within = Window.partitionBy("lane", "_part").orderBy("source_id", "candidate_ref", "is_control", "pack_id")
     rows = numbered.withColumn("_at", F.row_number().over(within) - 1).join(F.broadcast(parts), ["lane", "_part"])
-    rows = rows.withColumn("seq", F.lit(recorded) + F.col("_before") + F.col("_at")).where("failure_type IS NULL")
+    rows = rows.withColumn("seq", (F.lit(recorded) + F.col("_before") + F.col("_at")).cast("long")).select(*results.columns, "seq")
+    return rows.unionByName(results.where("NOT takes_number").withColumn("seq", F.lit(None).cast("long")))
+
+
+def vote_records(results: DataFrame, run_id: str, tier: str = "base", recorded: int = 0) -> DataFrame:
+    """Valid votes as records. Numbers go on after the largest given so far (recorded), by lane, then a hash of the pack, then source
+    and candidate; replies that parse but are not valid take a number too, which malformed records keep."""
+    rows = numbered(results, recorded).where("failure_type IS NULL")
     return rows.select(
         ids.llm_vote_id(F.lit(run_id.rsplit("_", 1)[-1]), "pack_id", "seq").alias("llm_vote_id"),
         "candidate_ref",
@@ -110,9 +117,9 @@ def vote_records(results: DataFrame, run_id: str, tier: str = "base", recorded:
     )
 
 
-def malformed_records(results: DataFrame) -> DataFrame:
-    return results.where("failure_type IS NOT NULL").select(
-        "candidate_ref", "is_control", "pack_id", "lane", "model", "failure_type", F.coalesce("reply", F.lit("")).alias("raw_text"), "reason"
+def malformed_records(results: DataFrame, recorded: int = 0) -> DataFrame:
+    return numbered(results, recorded).where("failure_type IS NOT NULL").select(
+        "seq", "candidate_ref", "is_control", "pack_id", "lane", "model", "failure_type", F.coalesce("reply", F.lit("")).alias("raw_text"), "reason"
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleaner.operators import annotate, candidates, features, units, validate
 from gleaner.operators.candidates import CONTEXT
-from gleaner.registries import RULES, TERMS, Rule, Term
+from gleaner.registries import MARKERS, RULES, TERMS, Marker, Rule, Term
 from gleaner.sources.records import write_jsonl
 
 
@@ -24,18 +24,26 @@ class Evidence:
     votes: DataFrame
     terms: DataFrame
     candidates: DataFrame
+    markers: tuple[Marker, ...] = MARKERS
 
     def violations(self) -> DataFrame:
         return validate.run_all(self.transcripts, self.locks, self.units, self.votes, self.terms, self.candidates)
 
     def write(self, root: str, run_id: str, tier: str = "D", execute: bool = True) -> None:
-        """The records as JSON lines below root, a folder for each source; a dry run writes nothing."""
+        """The records as JSON lines below root, a folder for each source; a dry run writes nothing.
+
+        Feature records are checked before anything is written; one that is not sound is an error.
+        """
+        records = features.feature_records(self.units, run_id, self.markers)
+        if execute:
+            validate.require_clean(validate.feature_violations(records))
         for name, rows in (
+            ("transcripts", self.transcripts.select("source_id", "text", "cue_count")),
             ("units", units.unit_records(self.units, run_id)),
             ("annotations", annotate.annotation_records(self.votes, run_id)),
             ("term_occurrences", annotate.term_records(self.terms, run_id)),
-            ("candidate_case_files", candidates.candidate_records(self.candidates, run_id, tier)),
-            ("feature_records", features.feature_records(self.units, run_id)),
+            ("candidate_case_files", candidates.candidate_records(candidates.in_order(self.candidates), run_id, tier)),
+            ("feature_records", records),
             ("quality_profiles", self.profiles),
             ("lockfiles", self.locks),
         ):

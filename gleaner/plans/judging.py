@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gleaner.operators import packs as P
 from gleaner.operators import votes as V
+from gleaner.sources.records import append_records, write_document, write_text
 
 VOTES = (
     "llm_vote_id string, candidate_ref string, source_id string, run_id string, pack_id string, prompt_id string, prompt_version int, model string, "
@@ -22,7 +23,7 @@ VOTES = (
     "vote struct<verdict:string,inference_type:string,confidence:string,rationale:string,rejection_reason:string,reason_note:string>, "
     "token_counts struct<prompt:bigint,completion:bigint>"
 )
-MALFORMED = "candidate_ref string, is_control boolean, pack_id string, lane string, model string, failure_type string, raw_text string, reason string"
+MALFORMED = "seq bigint, candidate_ref string, is_control boolean, pack_id string, lane string, model string, failure_type string, raw_text string, reason string"
 
 
 def recorded(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -48,6 +49,12 @@ def flat(votes: DataFrame) -> DataFrame:
     )
 
 
+def next_number(*tables: DataFrame) -> int:
+    """One more than the largest number that a vote or a malformed reply of the store has."""
+    found = [t.agg(F.max(F.col("seq") if "seq" in t.columns else F.element_at(F.split("llm_vote_id", "_"), -1).cast("long"))).first()[0] for t in tables]
+    return max((n + 1 for n in found if n is not None), default=0)
+
+
 def _call(rows: DataFrame, judge: V.Judge, lane: str, root: str) -> DataFrame:
     at = f"{root}/calls/{uuid.uuid4().hex}"
     V.called(rows, judge, lane).write.parquet(at)
@@ -64,8 +71,12 @@ def run_lane(packs: DataFrame, judge: V.Judge, lane: str, root: str, run_id: str
     todo = P.pending(packs, lane, done, bad)
     if execute:
         results = _call(todo, judge, lane, root)
-        V.vote_records(results, run_id, recorded=done.count()).write.mode("append").parquet(f"{root}/votes")
-        V.malformed_records(results).write.mode("append").parquet(f"{root}/malformed")
+        first = next_number(done, bad)
+        given = V.vote_records(results, run_id, recorded=first)
+        given.write.mode("append").parquet(f"{root}/votes")
+        V.malformed_records(results, first).write.mode("append").parquet(f"{root}/malformed")
+        append_records(ledger(given), f"{root}/ledger")
+        write_document(run_summary(spark, root), f"{root}/summary.json")
     return todo
 
 
@@ -93,8 +104,11 @@ def adjudicate(packs: DataFrame, judge: V.Judge, model: str, lane: str, root: st
     todo = V.unadjudicated(packs.where("NOT is_control"), done, model)
     if execute:
         results = _call(todo, judge, lane, root)
-        V.vote_records(results, run_id, tier="escalation", recorded=done.count()).write.mode("append").parquet(at)
-    return V.compared(flat(base), flat(recorded(spark, at, VOTES)))
+        V.vote_records(results, run_id, tier="escalation", recorded=next_number(done)).write.mode("append").parquet(at)
+    pairs = V.compared(flat(base), flat(recorded(spark, at, VOTES)))
+    if execute:
+        write_text(spark, report(pairs, model), f"{root}/adjudication_report.json")
+    return pairs
 
 
 def report(pairs: DataFrame, model: str) -> str:

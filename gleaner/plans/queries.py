@@ -301,6 +301,35 @@ def anchor_violations(spark, sf_dir):
     return validate.anchor_violations(moved, documents_as_sources(spark, sf_dir)).groupBy("violation").agg(F.count("*").alias("n"))
 
 
+def metadata_hash(spark, sf_dir):
+    """The hash of every document's metadata, each as a source of one cue."""
+    docs = documents_as_sources(spark, sf_dir).select("source_id", "text", F.lit(1).alias("cue_count")).where("text IS NOT NULL")
+    return units.lockfile(docs, units.profiles(docs), RUN).select("source_id", "metadata_sha256")
+
+
+def vote_span_violations(spark, sf_dir):
+    """Votes of the first unit of a document with another span, those of one rule with another trigger."""
+    rows = votes_of(spark, sf_dir)
+    moved = rows.withColumn("end", F.when(F.col("start") == 0, F.col("end") + 1).otherwise(F.col("end")))
+    moved = moved.withColumn("trigger_text", F.when(F.col("rule_id") == "deontic_001", "zqzq").otherwise(F.col("trigger_text")))
+    return validate.vote_violations(moved, doc_units_of(spark, sf_dir)).groupBy("violation").agg(F.count("*").alias("n"))
+
+
+def candidate_violations(spark, sf_dir):
+    """Candidates without a reason, of an unknown authority or with a stale readiness, by the document's last digit."""
+    last = F.right("source_id", F.lit(1))
+    rows = candidates.ready(carrying_candidates_of(spark, sf_dir))
+    rows = rows.withColumns(
+        {
+            "reason": F.when(last == "1", F.lit("")).otherwise(F.col("reason")),
+            "authority_level": F.when(last == "2", F.lit("judge")).otherwise(F.col("authority_level")),
+            "blocked_reason": F.when(last == "4", F.lit("blocked:context_missing")).otherwise(F.col("blocked_reason")),
+        }
+    )
+    found = validate.candidate_violations(rows, votes_of(spark, sf_dir), doc_units_of(spark, sf_dir))
+    return found.groupBy("violation").agg(F.count("*").alias("n"))
+
+
 def schema_violations(spark, sf_dir):
     """events.props against a schema that part of it breaks."""
     props = table(spark, sf_dir, "conversations").select(F.to_json(F.struct(F.col("conv_id"), F.col("turn"), F.col("role"))).alias("value"))
@@ -387,6 +416,7 @@ QUERIES = {
         candidates_by_bucket, family_caps, cap_log, context_counts, context_text, evidence_ready, surface_complexity, marker_profile,
         deictic_profile, feature_counts, unigram_counts, bigram_counts, trigram_counts, corpus_totals, cap_counts, keyness_topk,
         phrases_topk, collocates_top6, kwic_top4, blind_spots, fk_orphans, dup_ids, anchor_violations, schema_violations,
+        metadata_hash, vote_span_violations, candidate_violations,
         candidate_packs, controls_union, resume_pending, vote_summary, agreement, adjudication, confusion, flips, confirm_by_bucket,
         parse_responses,
     )

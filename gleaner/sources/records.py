@@ -59,6 +59,18 @@ def document(df: DataFrame) -> str:
     return json.dumps(rows[0] if len(rows) == 1 else rows, indent=2, ensure_ascii=False)
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small document as one file, on whatever file system the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def write_document(df: DataFrame, path: str) -> None:
+    write_text(df.sparkSession, document(df), path)
+
+
 def sorted_json(fields: dict[str, Column]) -> Column:
     """An object as text, keys in order, a space after colons and commas."""
     parts = []

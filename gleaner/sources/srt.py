@@ -46,8 +46,13 @@ def parse_srt(files: DataFrame, text: str = "text", source: str = "source_id") -
     return cues.select("source_id", "cue_ord", F.coalesce("given", F.col("cue_ord") + 1).alias("srt_index"), "tc_start", "tc_end", "text")
 
 
-def require_cues(files: DataFrame, cues: DataFrame) -> DataFrame:
-    """The sources, with an error for each that has no cue."""
-    counted = cues.groupBy("source_id").agg(F.count("*").alias("n"))
-    checked = files.join(counted, "source_id", "left")
-    return checked.withColumn("n", F.coalesce("n", F.raise_error(F.concat(F.lit("no cues: "), "source_id"))))
+def without_cues(files: DataFrame, cues: DataFrame) -> DataFrame:
+    """The sources that have no cue."""
+    return files.select("source_id").join(cues.select("source_id").distinct(), "source_id", "left_anti")
+
+
+def require_cues(files: DataFrame, cues: DataFrame, shown: int = 20) -> DataFrame:
+    """The cues; a source that has none is an error."""
+    if rows := without_cues(files, cues).orderBy("source_id").limit(shown).collect():
+        raise ValueError("no cues: " + ", ".join(r.source_id for r in rows))
+    return cues

@@ -202,6 +202,81 @@ def test_caps(spark):
     assert all(r.kept for r in C.capped(df.where("candidate_id <> 'c000'")).collect())
 
 
+@pytest.fixture(scope="module")
+def on_disk(run, tmp_path_factory):
+    root = tmp_path_factory.mktemp("stored") / "run"
+    run.write(str(root), "run_fixture", "C")
+    return root
+
+
+def test_a_stored_run_is_clean_and_stages_run_alone(spark, run, on_disk, tmp_path):
+    import shutil
+
+    from gleaner.plans import stored
+
+    root = str(shutil.copytree(on_disk, tmp_path / "run"))
+    assert stored.violations(spark, root).collect() == []
+    names = ("annotations", "candidate_case_files", "feature_records")
+    kept = {n: sorted(stored.lines(spark, root, n).select("value").collect()) for n in names}
+    for n in (*names, "term_occurrences"):
+        shutil.rmtree(f"{root}/{n}")
+    stored.annotate_run(spark, root, "run_fixture", execute=False)
+    assert stored.lines(spark, root, "annotations").count() == 0
+    stored.annotate_run(spark, root, "run_fixture")
+    stored.candidates_run(spark, root, "run_fixture", "C")
+    stored.enrich_run(spark, root, "run_fixture")
+    assert {n: sorted(stored.lines(spark, root, n).select("value").collect()) for n in names} == kept
+    assert stored.violations(spark, root).collect() == []
+    assert stored.counts(spark, root).first().asDict() == {"source_id": SOURCE, "units": 6, "annotations": 8, "term_occurrences": 4, "candidate_case_files": 5, "feature_records": len(kept["feature_records"])}
+    with pytest.raises(FileNotFoundError):
+        stored.annotate_run(spark, str(tmp_path / "none"), "r")
+
+
+@pytest.mark.parametrize(
+    "name, old, new, said",
+    [
+        ("units", "unit economics", "unit econ", "text does not re-resolve at char_span"),
+        ("units", "00:00:09,500", "9.5", "does not parse"),
+        ("annotations", "The risk is", "The gain is", "trigger_text is not in the unit"),
+        ("annotations", '"rule_id":"advice_001b"', '"rule_id":"advice_999"', "does not re-derive"),
+        ("candidate_case_files", '"evidence_ready":true', '"evidence_ready":"blocked:context_missing"', "evidence_ready does not re-derive"),
+        ("candidate_case_files", '"vote_refs":[', '"vote_refs":["ann_0",', "vote_ref does not resolve"),
+        ("feature_records", '"payload":{', '"payload":{"bucket":"high",', "gating field: bucket"),
+        ("feature_records", f"unit_{SOURCE}_000054", "unit_x", "resolves to no unit_id"),
+        ("transcripts", "Welcome", "Wellcome", "transcript hash mismatch"),
+        ("term_occurrences", "}", "", "invalid JSON"),
+    ],
+)
+def test_a_tampered_stored_run_is_seen(spark, on_disk, tmp_path, name, old, new, said):
+    import shutil
+
+    from gleaner.plans import stored
+
+    root = shutil.copytree(on_disk, tmp_path / "run")
+    hit = 0
+    for file in (root / name).glob("*/*.json"):
+        text = file.read_text()
+        hit += old in text
+        file.write_text(text.replace(old, new, 1))
+    for crc in (root / name).glob("*/.*.crc"):
+        crc.unlink()
+    assert hit and any(said in r.violation for r in stored.violations(spark, str(root)).collect())
+
+
+def test_feature_records_are_checked_before_they_are_written(spark, run, tmp_path):
+    import dataclasses
+
+    records = feature_records(run.units, "run_fixture")
+    assert V.feature_violations(records).count() == 0
+    bad = records.withColumn("role", F.lit("judge")).withColumn("payload", F.parse_json(F.lit('{"rank": 1}')))
+    said = {r.violation for r in V.feature_violations(bad).collect()}
+    assert "gating field: rank" in said and any("not in enums[feature_role]" in x for x in said)
+    broken = dataclasses.replace(run, units=run.units.withColumn("unit_id", F.lit("u_1")))
+    with pytest.raises(ValueError, match="does not match"):
+        broken.write(str(tmp_path / "run"), "run_fixture")
+    assert not (tmp_path / "run").exists()
+
+
 def test_registries(spark, tmp_path):
     from gleaner.registries import MARKERS, RULES, lexicon_version
     from gleaner.sources.registry_files import read_markers, read_rules, read_terms

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text handled at once.
@@ -44,9 +45,22 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+_made: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/gleaner-{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark).rstrip('/')}/gleaner-{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clear(spark: SparkSession) -> int:
+    """Removes the intermediate tables that this driver has made; what is lazily read from them must be done. How many there were."""
+    paths, _made[:] = _made[:], []
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -243,3 +257,43 @@ def unused(df: DataFrame, name: str) -> str:
 def parts(spark: SparkSession, least: int = 1) -> int:
     """Shuffle partitions, as configured for the size of the input."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+#: The largest filter of nodes that is sent to every worker.
+SIEVE_BYTES = 16 << 20
+
+
+def sieve(nodes: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+    """A test for these nodes (node) that errs only by taking others too: a Bloom filter of at most SIEVE_BYTES, made in shares."""
+    spark, shares = nodes.sparkSession, 32
+    words = min(SIEVE_BYTES // 8, max(1024, nodes.count() // 4)) // shares
+
+    def places(x):
+        h = mix(x.view(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        word = ((h >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)
+        return (h & np.uint64(31)).astype(np.int64), word.astype(np.int64), (np.uint64(1) << ((h >> np.uint64(5)) & np.uint64(63))) | (np.uint64(1) << ((h >> np.uint64(11)) & np.uint64(63))) | (np.uint64(1) << ((h >> np.uint64(17)) & np.uint64(63)))
+
+    def partial(batches):
+        bits = np.zeros((shares, words), np.uint64)
+        for batch in batches:
+            share, word, mask = places(batch.column(0).to_numpy())
+            np.bitwise_or.at(bits, (share, word), mask)
+        for share in np.flatnonzero(bits.any(1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([share], pa.int32()), pa.array([zstandard.compress(bits[share].tobytes())], pa.binary())], ["share", "bits"])
+
+    def join(key, table):
+        bits = np.zeros(words, np.uint64)
+        for x in table.column("bits").to_pylist():
+            bits |= np.frombuffer(zstandard.decompress(x), np.uint64)
+        return pa.table({"share": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    whole = np.zeros((shares, words), np.uint64)
+    for row in nodes.select("node").mapInArrow(partial, "share int, bits binary").groupBy("share").applyInArrow(join, "share int, bits binary").collect():
+        whole[row.share] = np.frombuffer(row.bits, np.uint64)
+    sent = spark.sparkContext.broadcast(whole)
+
+    def test(x):
+        share, word, mask = places(np.ascontiguousarray(x))
+        return sent.value[share, word] & mask == mask
+
+    return test

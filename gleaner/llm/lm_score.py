@@ -4,11 +4,12 @@ Training tokens are counted as words and as word pairs. A count c is quantised t
 and the filter holds (n-gram, 1) to (n-gram, level); a count is read back by probing levels until one is
 absent. A text's probability is smoothed: p(w | v) = (c(v, w) + M p(w)) / (c(v) + M), with
 p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)), all counts from the filter. Exact word counts are kept too, for the
-base score and for n_known.
+base score and for n_known. As counts are the middles of their levels, what a context gives to all words adds up to one only
+about (0.6 to 1.6, see tests); a probability is never more than 1.
 
 What the model gathers grows with the corpus, so it lives in shards by hash range, made and kept in the
-shared folder. Word counts are looked up by shard: each chunk of documents (a hash of the id) sends its
-distinct words there as packed arrays, and the counts come back. A filter of at most FILTER_BYTES is sent to
+shared folder. Word counts are looked up by shard: each chunk of documents (rows dealt evenly) sends its
+distinct words there as packed arrays, and the counts come back. Words are known by a 64-bit hash. A filter of at most FILTER_BYTES is sent to
 every worker; a larger one is probed by shard, in the same way as the words. Both paths give the same result.
 
 Null text is empty: its only token is the end. Rows with a null id count as training rows. Repeated rows are
@@ -238,7 +239,8 @@ def score(
         sent = spark.sparkContext.broadcast((lengths, joined))
         del joined
     id_kind = dict(df.dtypes)[id_col]
-    chunk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(chunks)).cast("int")
+    # by row, not by id: rows that repeat an id, or have none, are spread like any others
+    chunk = F.pmod(F.monotonically_increasing_id(), F.lit(chunks)).cast("int")
     dealt = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"), chunk.alias("chunk")).repartition(chunks, "chunk")
 
     def each_slice(table):

@@ -30,6 +30,8 @@ from gleaner.llm.graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 PREFIX, HOT = 12, 400_000
+#: Parts in which the members of a component are told its name.
+SALTS = 16
 #: Variants made at once in a task.
 AT_ONCE = 1_000_000
 
@@ -161,10 +163,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
     prints = checkpoint(fingerprints(df, id_col, text))
     distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
-    named = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = checkpoint(named)
-    heads = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(named.select("fp", "root").join(heads, "root").select("fp", "component_id"), "fp", "left")
+    named = checkpoint(distinct.join(roots, "fp", "left").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")))
+    # a large component is dealt by salt, for its head's id as for its members; fingerprints without links are their own
+    heads = named.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("head"))
+    heads = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    told = named.join(heads, ["root", "salt"], "left").select("fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("head")).alias("component_id"))
+    # exact copies share a fingerprint: the prints' side of this join is the one that may be hot, and AQE splits it
+    return prints.join(told, "fp", "left")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

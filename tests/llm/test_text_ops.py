@@ -23,7 +23,7 @@ import public_tokenizers
 
 ODD = ["", None, "   \n\t", "a", "Straße É'S İx ΣΑΣ. e\u0301", "x" * 30_000, "word " * 9_000, "<|endoftext|> <|EndOfText|>", "\x1c\x1d \x85 \xa0　", "你好 世界 😀", "don't 123 a,b"]
 #: A column of the outputs' names, in another type, must not disturb anything.
-CLASH = dict(ids=None, score=None, lang_pred=None, id=None, hits=None, start=None)
+CLASH = ("ids", "score", "lang_pred", "id", "hits", "start")
 
 
 def lower_ascii(text):
@@ -109,6 +109,18 @@ def test_op1(spark, tables):
     assert all({*r.base_labels.split(",")} - {""} <= {*r.labels.split(",")} and 0 <= r.score <= 1 for r in rows)
 
 
+def test_op1_clashing_columns_and_shuffled_join(spark, tables, monkeypatch):
+    r = random.Random(8)
+    filler = "cc by general public license all rights reserved the of mit".split()
+    docs = [(i % 20, " ".join(r.choice(filler) for _ in range(r.randrange(40)))) for i in range(30)] + [(None, None), (None, "cc by"), (1, "x " * 20_000 + "all rights reserved")]
+    at = tables(docs, **{k: [1] * len(docs) for k in (*CLASH, "rid", "n_words", "label")})
+    rows = lambda: sorted(map(tuple, license_scan.op1_license_scan(spark, at).collect()), key=str)
+    few = rows()
+    assert sorted((x[0], *x[1:6]) for x in few if x[0] is not None) == sorted((i, *brute_license(t)) for i, t in docs if i is not None)
+    monkeypatch.setattr(license_scan, "BROADCAST_ROWS", 1)  # every hash goes on and the join shuffles
+    assert rows() == few
+
+
 def test_op1_merges_neighbouring_diagonals(spark, tables):
     mit = next(t.text for t in license_scan.NOTICES if t.text.startswith("permission is hereby granted"))
     words = mit.split()
@@ -152,6 +164,37 @@ def test_op2(spark, tables):
     assert len({r.component_id for r in rows}) < len(distinct)
 
 
+def test_op2_null_ids_and_clashing_columns(spark, tables):
+    text = lambda k: " ".join(f"w{k * 31 + i}" for i in range(60))
+    docs = [(None, text(1)), (4, text(1)), (3, text(1).upper()), (None, text(2)), (None, text(2)), (7, None), (None, "")]
+    rows = simhash.op2_simhash(spark, tables(docs, **{k: [1] * 7 for k in (*CLASH, "fp", "root", "salt", "least")})).collect()
+    assert sorted(((x.doc_id, x.component_id) for x in rows), key=str) == sorted([(None, 3), (4, 3), (3, 3), (None, None), (None, None), (7, 7), (None, 7)], key=str)
+
+
+def test_intermediate_tables_are_cleared(spark, tables):
+    import os
+
+    simhash.checkpoint(spark.range(3))
+    df = common.stored(spark.range(3), "some")
+    path = common._made[-1]
+    assert df.count() == 3 and os.path.isdir(path)
+    assert common.clear(spark) >= 1 and not os.path.exists(path) and common.clear(spark) == 0
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch, spark):
+    class Context:
+        master = "spark://host:7077"
+        _jsc = spark.sparkContext._jsc
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})()
+
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            common.shared_dir(Session())
+
+
 def test_op2_hot_keys_give_the_same_links(spark):
     r = random.Random(5)
     prints = set()

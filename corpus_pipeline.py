@@ -1,9 +1,10 @@
 """Documents made ready for training: language ID, near-dedup, decontamination, secrets, BPE.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
-documents. Null or empty texts, and texts without a letter, go with the first stage. Rows without a doc_id
-cannot be told apart: near-dedup keeps them, the other stages treat them like any row. Of rows that repeat a
-doc_id near-dedup keeps one. An empty table passes through every stage.
+documents. Null or empty texts, and texts without a letter, go with the first stage. Rows without a doc_id take part in
+near-dedup by their texts, after all others; the other stages treat them like any row. Of rows that repeat a doc_id and its
+text near-dedup keeps one; rows that repeat a doc_id with another text are documents of their own. An empty table passes
+through every stage.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from gleaner.llm.bpe import bpe_encode
 from gleaner.llm.common import documents, fresh_path, unused
 from gleaner.llm.decontaminate import decontaminate
 from gleaner.llm.langid import identify, learned_languages
+from gleaner.llm.near_copies import heads
 from gleaner.llm.secret_scan import redact
-from gleaner.llm.simhash import near_duplicates
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,10 +28,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each group of near copies."""
-    heads = near_duplicates(docs).where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.where("doc_id IS NOT NULL").join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """The document of least doc_id of each class of near copies (shingles of five words, a similarity of 0.8 or more)."""
+    return heads(docs)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,8 +6,8 @@ of half PART_RADIUS around it: two texts meet if any of their words lie within P
 simhash: by the leading bits of a variant first (packed), the variants themselves are made where they meet, in bounded
 memory. Of those that meet the least stands for the others that are within FAR bits of it in the whole fingerprint; the
 rest goes on among itself. So nothing is paired with all of its group, and what is far from the least is not lost with it.
-Every such link is then verified on the texts: the Jaccard similarity of their sets of shingles, exactly. Classes are the
-components of verified links; texts of the same words (ASCII case apart) are one node.
+Every such link is then verified on the texts: the Jaccard similarity of their sets of shingles, exactly; first each text against
+its least candidate, then what is not in one class by that. Classes are the components of verified links; texts of the same words (ASCII case apart) are one node.
 
 Null and empty texts have no words and are one node. Texts of fewer words than a shingle have one shingle, all their words.
 Repeated rows and rows with a null id take part like any other. An empty table gives no rows.
@@ -231,7 +231,15 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", size:
     nodes = stored(prints.groupBy("node").agg(F.first("one").alias("one"), F.first("two").alias("two")), "copies-nodes")
     near = stored(candidates(nodes), "copies-near")
     wanted = stored(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "copies-wanted")
-    links = stored(verified(near, stored(texts_of(df, text, wanted), "copies-texts"), size, similarity), "copies-links")
+    texts = stored(texts_of(df, text, wanted), "copies-texts")
+    # each node against its least candidate first: of what this joins, no further link has to be verified
+    first = near.groupBy("b").agg(F.min("a").alias("a"))
+    one = stored(verified(first, texts, size, similarity), "copies-first")
+    root = components(one)
+    side = lambda x, y: root.select(F.col("node").alias(x), F.col("root").alias(y))
+    apart = near.join(first, ["a", "b"], "left_anti").join(side("a", "p"), "a", "left").join(side("b", "q"), "b", "left")
+    apart = stored(apart.where(F.coalesce("p", "a") != F.coalesce("q", "b")).select("a", "b"), "copies-apart")
+    links = one.unionByName(stored(verified(apart, texts, size, similarity), "copies-links"))
     return prints.join(components(links), "node", "left").select("id", "spelling", "node", F.coalesce("root", "node").alias("root"))
 
 

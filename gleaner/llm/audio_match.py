@@ -3,20 +3,17 @@
 Samples become frames, frames become the energy of the twelve pitch classes (a byte each), and filters over the integral
 image of these give a 32-bit integer for each window of WINDOW frames (16 filters, two bits each). All from the frames on is
 integer arithmetic, so equal frames give equal integers wherever they stand. The integers' landmarks (the least hash of
-every LANDMARKS keys of KEY consecutive integers) meet by hash range, packed. The nodes (distinct fingerprints) that share a
-landmark meet again at the least of them, where all that they share there is counted at once: offsets at which landmarks
-agree (VOTES of them, or all landmarks of one that has fewer) with an overlap of at least SHARE of the shorter one. At the
-offset with most votes the bits that differ over the whole overlap decide. A link: at most ERRORS of the bits wrong. Nodes
-with a landmark that gives more than HOT / 2 votes a node are dealt into blocks; blocks that share such a landmark are
-compared in a task of their own, which gives the number of links of each node and stars that join the same nodes, so comparisons grow
-with the square of a group, but rows do not. Such landmarks are only a passage, and do not vote, for a node of whose landmarks
-they are less than CROWD: one that links with others shares more than that with them. A vote that is alone at its node does
-not count where two are needed. Both lose some links (README has figures). Classes are the components of links. Runs of LANDMARKS + KEY - 1 equal integers
-always share a landmark, if the sound moves there: keys of a steady sound are no landmarks, but for the first one of a recording
-that has no others.
-
-Integers are never stored: they are made again of the media where they are needed, and only the frames of nodes with
-something to verify are sent (compressed; those nodes are known by a Bloom filter of at most SIEVE_BYTES).
+every LANDMARKS keys of KEY consecutive integers) meet by hash range, packed; those that several nodes (distinct fingerprints)
+have are stored by class of the node (a hash's), and so are the nodes' frames. Each pair of classes is read by one task, which
+has all that two nodes share: offsets at which landmarks agree (VOTES of them, or all landmarks of one that has fewer) with an
+overlap of at least SHARE of the shorter one. At the offset with most votes the bits that differ over the whole overlap decide.
+A link: at most ERRORS of the bits wrong. No vote is left out, however common a landmark is: comparisons grow with the square
+of a group, but rows and what is stored do not, as a task gives the number of links of each node and stars that join the same
+nodes. Classes of linked nodes are the components. Runs of LANDMARKS + KEY - 1 equal integers always share a landmark, if the sound
+moves there: keys of a steady sound are no landmarks, but for the first one of a recording that has no others.
+
+Integers are never stored: they are made again of the compressed frames where they are needed, in a task for those nodes that
+have something to verify there.
 
 The test tables hold no audio. The query therefore plays the texts of ``documents``: tones() gives a note
 to every word, so copies sound alike and edits change a few notes.
@@ -30,6 +27,7 @@ gives no rows. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import LOWER, SOLID, Words, documents, mix, parts, sieve, slices, stored, text_buffer
+from gleaner.llm.common import LOWER, SOLID, Words, documents, fresh_path, mix, parts, slices, stored, text_buffer
 from gleaner.llm.graph import components
 
 #: Samples a second, samples of a frame, and the lowest note's bin.
@@ -49,24 +47,18 @@ UNIT, CHUNK, UNPACKED = 255, 8192, 1 << 17
 #: Levels of a filter's value; none is a value that equal areas have.
 LEVELS = (-0.23, 0.013, 0.27)
 SHARE, ERRORS, VOTES = 0.8, 0.15, 2
-#: Share of a node's landmarks that must be in crowds before these vote for it.
-CROWD = 0.05
 #: Landmarks that a task holds before it sends them.
 HELD = 1_000_000
-#: Nodes that share a landmark and are always paired one by one; nodes of a block.
-HOT, BLOCK = 64, 2048
-#: Blocks, about, that a block is compared with in one task.
-MEETS = 8
+#: Integers, about, of the nodes of a class; classes at least; pairs of classes compared in one job.
+CLASS, CLASSES, ROUND = 10 << 20, 4, 256
+#: Votes summed at once, pairs verified at once, and pairs (or integers of pairs) made at once.
+SUMMED, VERIFIED, PAIRS = 2 << 20, 1 << 18, 1 << 18
 #: Parts in which the members of a class are told its name.
 SALTS = 16
-#: Nodes that share a landmark and whose votes are tried in one task, and pairs (or integers of pairs) made at once.
-TRIED, PAIRS = 4096, 1 << 18
 
-#: What is packed of the sets of a bucket (a table of nodes and their integers, negative if they have fewer than VOTES landmarks;
-#: each set's home, its least node, and how many rows it has; each row's node and place), and of the votes of pairs.
-SETS = {"nodes": "<i8", "sizes": "<i4", "homes": "<u4", "counts": "<u4", "index": "<i4", "places": "<i4"}
-CROWDS = {"key": "<i8", "node": "<i8", "marks": "<u4"}
-PAIRED = {"nodes": "<i8", "a": "<u4", "b": "<u4", "offset": "<i4", "votes": "<i4"}
+#: What is packed of the landmarks of a shard that several nodes of a class have: steps of the key's number, a table of nodes and
+#: their integers (negative if they have fewer than VOTES landmarks), and each landmark's node and place.
+SETS = {"numbers": "<i4", "nodes": "<i8", "sizes": "<i4", "index": "<i4", "places": "<i4"}
 
 Scan = Callable[[Callable[[Iterator], Iterator], str], DataFrame]
 
@@ -163,7 +155,9 @@ def integers(frames: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     if n < 1:
         return np.zeros(0, np.uint32), first
     image = np.zeros((13, len(frames) + 1), np.int32)  # sums wrap, their differences are small
-    np.cumsum(np.cumsum(frames.T, axis=1, dtype=np.int32), axis=0, dtype=np.int32, out=image[1:, 1:])
+    for k, band in enumerate(np.ascontiguousarray(frames.T)):
+        np.cumsum(band, dtype=np.int32, out=image[k + 1, 1:])
+        image[k + 1] += image[k]
     every = np.empty(n, np.uint32)  # windows that cross recordings too; these are left out below
     for i in range(0, n, CHUNK):
         every[i : i + CHUNK] = windows(image[:, i : i + CHUNK + WINDOW], min(CHUNK, n - i))
@@ -220,11 +214,18 @@ def nodes_of(frames: np.ndarray, at: np.ndarray, sound: np.ndarray) -> np.ndarra
 _MIXED = mix(np.arange(1, 13, dtype=np.uint64))
 
 
-def packed_frames(frames: np.ndarray) -> bytes:
-    """Frames, compressed; if few differ, as their numbers in a list of these."""
+def kinds_of(frames: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """The different frames and which of these each is, if they are few."""
     _, at, which = np.unique(frames @ _MIXED, return_index=True, return_inverse=True)
     kinds, which = frames[at], which.astype(np.uint8)
-    if len(kinds) > 256 or not np.array_equal(kinds[which], frames):
+    return (kinds, which) if len(kinds) <= 256 and np.array_equal(kinds[which], frames) else None
+
+
+def packed_frames(frames: np.ndarray, found: tuple[np.ndarray, np.ndarray] | None = None) -> bytes:
+    """Frames, compressed; if few differ, as their numbers in a list of these (found, if it is known)."""
+    found = found or kinds_of(frames)
+    kinds, which = found or (frames, None)
+    if found is None:
         body = b"\x00" + frames.tobytes()
     elif len(kinds) <= 16:
         body = bytes([len(kinds)]) + kinds.tobytes() + (np.append(which, np.uint8(0))[: (len(which) + 1) // 2 * 2].reshape(-1, 2) @ np.array([1, 16], np.uint8)).tobytes()
@@ -313,49 +314,82 @@ def unplaned(x: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.T).view(kind).ravel()
 
 
-def shared_landmarks(scan: Scan, shards: int, most: int = HOT) -> DataFrame:
-    """Sets of nodes that share a landmark, and their places, packed by bucket of the least node of a set; and crowds, by key.
+def class_of(nodes: np.ndarray, classes: int) -> np.ndarray:
+    """The class of each node: a hash's, so classes are of one size."""
+    return (mix(nodes.view(np.uint64) + np.uint64(classes)) % np.uint64(classes)).astype(np.int32)
 
-    A crowd is a key that more than most nodes have and that would give over most / 2 votes a node (or that more than TRIED
-    nodes have): key, node and marks (how many landmarks the node has) of these.
-    """
-    kinds = {"keys": "<u4", "nodes": "<i8", "counts": "<u4", "places": "<u4", "sizes": "<i4", "marks": "<u4"}
+
+def class_frames(scan: Scan, classes: int) -> DataFrame:
+    """Compressed frames of nodes, by class; a node that several tasks hear may come again."""
+
+    def run(heard):
+        seen = np.zeros(0, np.int64)
+        for node, frames, at in heard:
+            fresh = np.zeros(len(node), bool)
+            fresh[np.unique(node, return_index=True)[1]] = True
+            some = np.flatnonzero(fresh & (np.diff(at) >= WINDOW) & ~np.isin(node, seen))
+            seen = np.union1d(seen, node[some])
+            found = kinds_of(frames)
+            if found and len(found[0]) > 16:  # a node has fewer, perhaps
+                found = None
+            packed = [packed_frames(frames[a:b], found and (found[0], found[1][a:b])) for a, b in zip(at[some].tolist(), at[some + 1].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(class_of(node[some], classes)), pa.array(node[some], pa.int64()), pa.array(packed, pa.binary())], ["class", "node", "frames"])
+
+    frames = scan(run, "class int, node long, frames binary")
+    return frames.select("*", F.lit(None).cast("int").alias("shard"), *(F.lit(None).cast("binary").alias(c) for c in SETS))
+
+
+def stored_frames(rows: DataFrame) -> Scan:
+    """Runs a function over stored compressed frames (node, frames), some at a time."""
+
+    def scan(f: Callable, schema: str) -> DataFrame:
+        def heard(batches):
+            for batch in batches:
+                node, at = batch.column(0).to_numpy(), 0
+                held, n = [], 0
+                for i, x in enumerate(batch.column(1).to_pylist()):
+                    held.append(unpacked_frames(x))
+                    n += len(held[-1])
+                    if n >= UNPACKED or i == len(node) - 1:
+                        yield node[at : i + 1], np.concatenate(held), np.concatenate([[0], np.cumsum([len(x) for x in held])]).astype(np.int64)
+                        held, n, at = [], 0, i + 1
+
+        return rows.where("frames IS NOT NULL").select("node", "frames").mapInArrow(lambda batches: f(heard(batches)), schema)
+
+    return scan
+
+
+def shared_landmarks(scan: Scan, shards: int, classes: int) -> DataFrame:
+    """Landmarks that several nodes have, packed by shard and class of the node: which key of its shard, which node, and place."""
+    kinds = {"keys": "<u4", "nodes": "<i8", "counts": "<u4", "places": "<u4", "sizes": "<i4"}
 
     def send(held):
-        keys, nodes, places, sizes, marks = (np.concatenate(x) for x in zip(*held, strict=True))
+        keys, nodes, places, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
         shard = ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
         order = np.argsort(shard, kind="stable")
         # within a shard the lower half of the key is enough: what else meets is told apart by its bits
         keys = (keys & np.uint64(0xFFFFFFFF)).astype("<u4")[order]
-        nodes, places, sizes, marks = nodes[order], places[order], sizes[order], marks[order]
+        nodes, places, sizes = nodes[order], places[order], sizes[order]
         edge = np.searchsorted(shard[order], np.arange(shards + 1))
         rows = []
         for s in np.flatnonzero(np.diff(edge)).tolist():
             own = slice(edge[s], edge[s + 1])
             start = np.flatnonzero(np.append(True, nodes[own][1:] != nodes[own][:-1]))
             counts = np.diff(np.append(start, edge[s + 1] - edge[s]))
-            columns = keys[own], nodes[own][start], counts, places[own], sizes[own][start], marks[own][start]
+            columns = keys[own], nodes[own][start], counts, places[own], sizes[own][start]
             rows.append((s, *(planes(x.astype(k)) for x, k in zip(columns, kinds.values(), strict=True))))
         columns = list(zip(*rows, strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(x, pa.binary()) for x in columns[1:])], ["shard", *kinds])
 
     def run(heard):
-        held, n, seen = [], 0, np.zeros(0, np.int64)
+        held, n = [], 0
         for node, frames, at in heard:
             ints, first = integers(frames, at)
             key, doc, place = marked(ints, first)
-            # a node that this task has sent is not sent again
-            fresh = np.zeros(len(node), bool)
-            fresh[np.unique(node, return_index=True)[1]] = True
-            fresh &= ~np.isin(node, seen)
-            seen = np.union1d(seen, node)
-            size, many = np.diff(first), np.bincount(doc, minlength=len(node))
-            size = np.where(many < VOTES, -size, size)
-            own = fresh[doc]
-            key, doc, place = key[own], doc[own], place[own]
+            size = np.diff(first)
+            size = np.where(np.bincount(doc, minlength=len(node)) < VOTES, -size, size)
             if len(key):
-                small = (x.astype(np.int32) for x in (place, size[doc], many[doc]))
-                held.append((key, node[doc], *small))
+                held.append((key, node[doc], place.astype(np.int32), size[doc].astype(np.int32)))
                 n += len(key)
             if n >= HELD:
                 yield from send(held)
@@ -366,10 +400,10 @@ def shared_landmarks(scan: Scan, shards: int, most: int = HOT) -> DataFrame:
     def meet(key, table):
         found = []
         for row in zip(*(table.column(c).to_pylist() for c in kinds), strict=True):
-            keys, nodes, counts, places, sizes, marks = (unplaned(x, k) for x, k in zip(row, kinds.values(), strict=True))
+            keys, nodes, counts, places, sizes = (unplaned(x, k) for x, k in zip(row, kinds.values(), strict=True))
             each = lambda x, n=counts.astype(np.int64): np.repeat(x, n)
-            found.append((keys, each(nodes), places, each(sizes), each(marks)))
-        keys, nodes, places, sizes, marks = (np.concatenate(x) for x in zip(*found, strict=True))
+            found.append((keys, each(nodes), places, each(sizes)))
+        keys, nodes, places, sizes = (np.concatenate(x) for x in zip(*found, strict=True))
         del found
         # most keys are one node's alone: only what meets goes on
         order = np.argsort(keys, kind="stable")
@@ -377,191 +411,50 @@ def shared_landmarks(scan: Scan, shards: int, most: int = HOT) -> DataFrame:
         again = np.append(False, alone[1:] == alone[:-1])
         order = order[again | np.append(again[1:], False)]
         del alone, again
-        keys, nodes, places, sizes, marks = (x[order] for x in (keys, nodes, places, sizes, marks))
-        places, sizes, marks = (x.astype(np.int64) for x in (places, sizes, marks))
+        keys, nodes, places, sizes = (x[order] for x in (keys, nodes, places, sizes))
         order = np.lexsort((places, nodes, keys))
-        keys, nodes, places, sizes, marks = (x[order] for x in (keys, nodes, places, sizes, marks))
+        keys, nodes, places, sizes = (x[order] for x in (keys, nodes, places, sizes))
         again = np.append(False, (keys[1:] == keys[:-1]) & (nodes[1:] == nodes[:-1]) & (places[1:] == places[:-1]))[: len(keys)]
-        keys, nodes, places, sizes, marks = (x[~again] for x in (keys, nodes, places, sizes, marks))
+        keys, nodes, places, sizes = (x[~again] for x in (keys, nodes, places, sizes))
         group = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
         end = np.append(group[1:], len(keys))[: len(group)]
         shared = nodes[end - 1] != nodes[group]
-        out = []
-        lone = np.repeat(~shared, end - group)
-        home, own_key = np.repeat(nodes[group], end - group), (keys.astype(np.int64) * shards + key[0].as_py())
-        hot = np.zeros(len(keys), bool)
-        for a, b in zip(group[shared & (end - group > most)].tolist(), end[shared & (end - group > most)].tolist(), strict=True):
-            n = len(np.unique(nodes[a:b]))
-            if n <= most:
-                continue
-            pairs = [] if n <= TRIED else None
-            if pairs is not None:
-                for x, y, _ in pairings(own_key[a:b], nodes[a:b], places[a:b], np.abs(sizes[a:b])):
-                    pairs.append((x, y))
-                    if sum(len(x) for x, _ in pairs) > most / 2 * n:
-                        pairs = None
-                        break
-            if pairs is None:
-                hot[a:b] = True
-                continue
-            lone[a:b] = True  # the few pairs that fit go on by themselves
-            x, y = (a + np.concatenate([np.zeros(0, np.int64), *z]) for z in (zip(*pairs, strict=True) if pairs else ([], [])))
-            key_of = mix(own_key[x].view(np.uint64) ^ mix(np.arange(len(x), dtype=np.uint64))).view(np.int64)
-            out += [(nodes[x], key_of, nodes[z], places[z], sizes[z]) for z in (x, y)]
-        few = np.flatnonzero(~lone & ~hot)
-        out.append((home[few], own_key[few], nodes[few], places[few], sizes[few]))
-        crowd = np.flatnonzero(hot & np.append(True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1]))[: len(hot)])
-        home, keys, nodes_in, places, sizes = (np.concatenate(x) for x in zip(*out, strict=True))
-        bucket = (mix(home.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
-        order = np.lexsort((places, nodes_in, keys, home, bucket))
-        bucket, home, keys, nodes_in, places, sizes = (x[order] for x in (bucket, home, keys, nodes_in, places, sizes))
-        edge, rows = np.searchsorted(bucket, np.arange(shards + 1)), []
-        for s in np.flatnonzero(np.diff(edge)).tolist():
-            own = slice(edge[s], edge[s + 1])
-            table_of, at, index = np.unique(nodes_in[own], return_index=True, return_inverse=True)
-            start = np.flatnonzero(np.append(True, (keys[own][1:] != keys[own][:-1]) | (home[own][1:] != home[own][:-1])))
-            counts = np.diff(np.append(start, len(index)))
-            place, step = places[own], np.diff(index, prepend=0)
-            step[start] = index[start]
-            apart = place - np.repeat(place[start], counts)
-            apart[start] = place[start]
-            columns = table_of, sizes[own][at], index[start], counts, step, apart
-            rows.append((s, *(planes(x.astype(k)) for x, k in zip(columns, SETS.values(), strict=True)), None, None, None))
-        crowds = own_key[crowd], nodes[crowd], marks[crowd]
-        bucket = (mix(crowds[0].view(np.uint64)) % np.uint64(shards)).astype(np.int64)
-        for s in np.unique(bucket).tolist():
-            rows.append((s, *[None] * len(SETS), *(planes(x[bucket == s].astype(k)) for x, k in zip(crowds, CROWDS.values(), strict=True))))
-        names = ["bucket", *SETS, *CROWDS]
+        keep, number = np.repeat(shared, end - group), np.repeat(np.cumsum(shared) - 1, end - group)
+        number, nodes, places, sizes = number[keep], nodes[keep], places[keep], sizes[keep]
+        of, rows = class_of(nodes, classes), []
+        for c in np.unique(of).tolist():
+            own = np.flatnonzero(of == c)
+            table_of, at, index = np.unique(nodes[own], return_index=True, return_inverse=True)
+            columns = np.diff(number[own], prepend=0), table_of, sizes[own][at], index, places[own]
+            rows.append((c, key[0].as_py(), *(planes(x.astype(k)) for x, k in zip(columns, SETS.values(), strict=True))))
+        names = ["class", "shard", *SETS]
         columns = list(zip(*rows, strict=True)) or [()] * len(names)
-        return pa.table({n: pa.array(x, pa.int32() if n == "bucket" else pa.binary()) for n, x in zip(names, columns, strict=True)})
+        return pa.table({n: pa.array(x, pa.int32() if n in ("class", "shard") else pa.binary()) for n, x in zip(names, columns, strict=True)})
 
     packed = scan(run, "shard int, " + ", ".join(f"{c} binary" for c in kinds))
-    schema = "bucket int, " + ", ".join(f"{c} binary" for c in (*SETS, *CROWDS))
-    return packed.groupBy("shard").applyInArrow(meet, schema)
-
-
-def pairings(keys: np.ndarray, nodes: np.ndarray, places: np.ndarray, sizes: np.ndarray):
-    """Rows x and y of nodes a < b that share a key, and the offset, some at a time: each place of b against a's first place,
-    if they overlap enough. Rows come sorted by key, node and place."""
-    n = len(keys)
-    if not n:
-        return
-    group = np.append(True, keys[1:] != keys[:-1])
-    first = np.flatnonzero(group | np.append(True, nodes[1:] != nodes[:-1]))
-    which = np.cumsum(group)[first] - 1
-    run_end, group_end = np.append(first[1:], n), np.append(np.flatnonzero(group)[1:], n)[which]
-    many = group_end - run_end
-    heads = np.flatnonzero(many > 0)
-    turn = np.cumsum(many[heads]) // PAIRS
-    rests = sizes - places
-    for own in np.split(heads, np.flatnonzero(turn[1:] != turn[:-1]) + 1):
+    met = packed.groupBy("shard").applyInArrow(meet, "class int, shard int, " + ", ".join(f"{c} binary" for c in SETS))
+    return met.select("class", F.lit(None).cast("long").alias("node"), F.lit(None).cast("binary").alias("frames"), "shard", *SETS)
+
+
+def pairings(one: tuple, other: tuple, total: int, sizes: np.ndarray, chosen: Callable | None = None):
+    """Nodes a of one and b > a of other that share a key, and the offset, some at a time: each place of b against a's first place,
+    if they overlap enough. Both are key and node (key * total + node, in order), node, and place; chosen tells which may be a."""
+    code, who, place = one
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
+    if chosen:
+        first = first[chosen(who[first])]
+    low, high = (np.searchsorted(other[0], x) for x in (code[first] + 1, (code[first] // total + 1) * total))
+    heads = np.flatnonzero(high > low)
+    first, low, many = first[heads], low[heads], (high - low)[heads]
+    turn = np.cumsum(many) // PAIRS
+    for own in np.split(np.arange(len(first)), np.flatnonzero(turn[1:] != turn[:-1]) + 1):
         m = many[own]
-        y = np.repeat(run_end[own] - np.cumsum(m) + m, m) + np.arange(m.sum())
+        y = np.repeat(low[own] - np.cumsum(m) + m, m) + np.arange(m.sum())
         x = np.repeat(first[own], m)
-        overlap = np.minimum(places[x], places[y]) + np.minimum(rests[x], rests[y])
-        fits = overlap >= SHARE * np.minimum(sizes[x], sizes[y])
-        x, y = x[fits], y[fits]
-        yield x, y, places[y] - places[x]
-
-
-def summed(*columns: np.ndarray) -> list[np.ndarray]:
-    """Distinct rows of all columns but the last, in order, and the sums of the last."""
-    order = np.lexsort(columns[-2::-1])
-    columns = [x[order] for x in columns]
-    if not len(order):
-        return columns
-    start = np.flatnonzero(np.append(True, np.any([x[1:] != x[:-1] for x in columns[:-1]], axis=0)))
-    return [*(x[start] for x in columns[:-1]), np.add.reduceat(columns[-1], start)]
-
-
-def counted(shared: DataFrame) -> DataFrame:
-    """Votes of pairs of nodes as counted at each home, packed by bucket of the lesser node; and the crowds (key, node, marks).
-
-    A vote that is alone at its home, where two are needed, goes no further: nearly all such are of pairs that share nothing else.
-    """
-    shards = parts(shared.sparkSession)
-
-    def run(table):
-        found, few, fresh = [[np.zeros(0, np.int64)] * 5], [], 0
-        crowds = [table.column(c).drop_null().to_pylist() for c in CROWDS]
-        for row in zip(*(table.column(c).drop_null().to_pylist() for c in SETS), strict=True):
-            nodes, sizes, homes, counts, index, places = (unplaned(x, k).astype(np.int64) for x, k in zip(row, SETS.values(), strict=True))
-            start = np.cumsum(counts) - counts
-            index = np.cumsum(index) - np.repeat(np.cumsum(index)[start] - index[start], counts)
-            first = places[start]
-            places[start] = 0
-            places += np.repeat(first, counts)
-            few.append(nodes[sizes < 0])
-            home, sizes = np.repeat(nodes[homes], counts), np.abs(sizes)
-            for x, y, offset in pairings(np.repeat(np.arange(len(counts)), counts), index, places, sizes[index]):
-                found.append([home[x], nodes[index[x]], nodes[index[y]], offset, np.ones(len(x), np.int64)])
-                fresh += len(x)
-                if fresh > max(4 * PAIRS, len(found[0][0])):
-                    found, fresh = [summed(*map(np.concatenate, zip(*found, strict=True)))], 0
-        _, a, b, offset, votes = summed(*map(np.concatenate, zip(*found, strict=True)))
-        del found
-        few = np.unique(np.concatenate([np.zeros(0, np.int64), *few]))
-        # one vote is enough if one of them has no more landmarks
-        lone = np.isin(a, few) | np.isin(b, few)
-        on = lone | (votes >= VOTES)
-        a, b, offset, votes = a[on], b[on], offset[on], np.where(lone, -votes, votes)[on]
-        bucket = (mix(a.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        a, b, offset, votes = a[order], b[order], offset[order], votes[order]
-        edge, rows = np.searchsorted(bucket[order], np.arange(shards + 1)), []
-        for s in np.flatnonzero(np.diff(edge)).tolist():
-            own = slice(edge[s], edge[s + 1])
-            nodes, index = np.unique(np.concatenate([a[own], b[own]]), return_inverse=True)
-            columns = nodes, index[: len(index) // 2], index[len(index) // 2 :], offset[own], votes[own]
-            rows.append((s, *(planes(x.astype(k)) for x, k in zip(columns, PAIRED.values(), strict=True))))
-        rows = [(*row, None, None, None) for row in rows]
-        for key, node, marks in zip(*crowds, strict=True):
-            key, node, marks = (unplaned(x, k).astype(np.int64) for x, k in zip((key, node, marks), CROWDS.values(), strict=True))
-            rows += [(None, *[None] * len(PAIRED), *x) for x in zip(key.tolist(), node.tolist(), marks.tolist(), strict=True)]
-        names = ["bucket", *PAIRED, "key", "node", "marks"]
-        kinds = [pa.int32()] + [pa.binary()] * len(PAIRED) + [pa.int64()] * 3
-        columns = list(zip(*rows, strict=True)) or [()] * len(names)
-        return pa.table({n: pa.array(x, kind) for n, x, kind in zip(names, columns, kinds, strict=True)})
-
-    schema = "bucket int, " + ", ".join(f"{c} binary" for c in PAIRED) + ", key long, node long, marks long"
-    return shared.groupBy("bucket").applyInArrow(run, schema)
-
-
-def best_offsets(votes: DataFrame) -> DataFrame:
-    """a, b and offset of pairs of nodes to verify: the offset with most votes, if these are enough."""
-
-    def run(table):
-        found = []
-        for row in zip(*(table.column(c).to_pylist() for c in PAIRED), strict=True):
-            nodes, a, b, offset, n = (unplaned(x, k).astype(np.int64) for x, k in zip(row, PAIRED.values(), strict=True))
-            found.append((nodes[a], nodes[b], offset, n))
-        a, b, offset, n = map(np.concatenate, zip(*found, strict=True))
-        need = np.where(summed(a, b, offset, (n < 0).astype(np.int64))[3] > 0, 1, VOTES)
-        a, b, offset, votes = summed(a, b, offset, np.abs(n))
-        order = np.lexsort((offset, votes, b, a))  # the best offset of each pair comes last
-        last = order[np.append((a[1:] != a[:-1]) | (b[1:] != b[:-1]), True)]
-        last = last[votes[last] >= need[last]]
-        return pa.table({"a": a[last], "b": b[last], "offset": offset[last]})
-
-    return votes.select("bucket", *PAIRED).groupBy("bucket").applyInArrow(run, "a long, b long, offset long")
-
-
-def frames_of(scan: Scan, nodes: DataFrame) -> DataFrame:
-    """node and compressed frames of these nodes (node)."""
-    wanted = sieve(nodes)
-
-    def run(heard):
-        seen = np.zeros(0, np.int64)
-        for node, frames, at in heard:
-            fresh = np.zeros(len(node), bool)
-            fresh[np.unique(node, return_index=True)[1]] = True
-            some = np.flatnonzero(fresh & (np.diff(at) >= WINDOW) & wanted(node) & ~np.isin(node, seen))
-            seen = np.union1d(seen, node[some])
-            packed = [packed_frames(frames[at[i] : at[i + 1]]) for i in some.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(node[some], pa.int64()), pa.array(packed, pa.binary())], ["node", "frames"])
-
-    # the other tasks' copies of a node go before the join
-    return scan(run, "node long, frames binary").dropDuplicates(["node"]).join(nodes, "node", "left_semi")
+        a, b, p, q = who[x], other[1][y], place[x], other[2][y]
+        m, n = sizes[a], sizes[b]
+        fits = np.minimum(p, q) + np.minimum(m - p, n - q) >= SHARE * np.minimum(m, n)
+        yield a[fits].astype(np.int64), b[fits].astype(np.int64), (q - p)[fits].astype(np.int64)
 
 
 def integers_of(packed: list[bytes]) -> list[np.ndarray]:
@@ -587,10 +480,8 @@ def errors(x: np.ndarray, y: np.ndarray, offset: int) -> tuple[float, float]:
     return (high - low) / min(len(x), len(y)), float(wrong) / (32 * (high - low))
 
 
-def all_errors(ints: list[np.ndarray], a: np.ndarray, b: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """errors() of many pairs, some bits at a time; of a pair with more errors than ERRORS, only some may be counted."""
-    size = np.array([len(x) for x in ints], np.int64)
-    flat, begin = np.concatenate([np.zeros(0, np.uint32), *ints]), np.cumsum(size) - size
+def all_errors(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """errors() of many pairs of nodes, whose integers are size of flat from begin on, some bits at a time; of a pair with more errors than ERRORS, only some may be counted."""
     low, high = np.maximum(0, -offset), np.minimum(size[a], size[b] - offset)
     span = np.maximum(high - low, 0)
     wrong = np.zeros(len(a), np.int64)
@@ -613,87 +504,82 @@ def all_errors(ints: list[np.ndarray], a: np.ndarray, b: np.ndarray, offset: np.
     return span / np.maximum(np.minimum(size[a], size[b]), 1), np.where(span > 0, wrong / (32 * np.maximum(span, 1)), 1.0)
 
 
-def verified(near: DataFrame, frames: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b, offset) that are links, with their error; a bucket of pairs is sent the frames of a node once."""
-    buckets = parts(near.sparkSession)
-    bucket = F.pmod(F.xxhash64("a", F.lit(3)), F.lit(buckets)).cast("int").alias("bucket")
-    members = near.select(bucket, F.explode(F.array("a", "b")).alias("node")).distinct()
-    sent = frames.join(members, "node").select("bucket", "node", "frames")
-
-    def run(pairs, held):
-        nodes = held.column("node").to_numpy()
-        order = np.argsort(nodes)
-        a, b = (order[np.searchsorted(nodes, pairs.column(c).to_numpy(), sorter=order)] for c in "ab")
-        share, error = all_errors(integers_of(held.column("frames").to_pylist()), a, b, pairs.column("offset").to_numpy())
-        keep = (share >= SHARE) & (error <= ERRORS)
-        return pa.table({"a": pairs.column("a"), "b": pairs.column("b"), "offset": pairs.column("offset"), "error": error}).filter(pa.array(keep))
-
-    dealt = near.select(bucket, "a", "b", "offset").groupBy("bucket")
-    return dealt.cogroup(sent.groupBy("bucket")).applyInArrow(run, "a long, b long, offset long, error double")
-
-
-class Block:
-    """Nodes in order, their integers and their landmarks."""
-
-    def __init__(self, nodes: list[int], ints: list[np.ndarray]):
-        order = np.argsort(np.array(nodes, np.int64))
-        self.nodes, self.ints = np.array(nodes, np.int64)[order], [ints[i] for i in order.tolist()]
-        sizes = [len(x) for x in self.ints]
-        self.key, self.who, self.place = marked(np.concatenate([np.zeros(0, np.uint32), *self.ints]), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
-
-    def beside(self, other: "Block") -> tuple["Block", np.ndarray]:
-        """Both as one, and which nodes are this one's."""
-        both = Block.__new__(Block)
-        nodes = np.concatenate([self.nodes, other.nodes])
-        order = np.argsort(nodes)
-        rank = np.empty(len(nodes), np.int64)
-        rank[order] = np.arange(len(nodes))
-        ints = self.ints + other.ints
-        both.nodes, both.ints = nodes[order], [ints[i] for i in order.tolist()]
-        both.key, both.place = np.concatenate([self.key, other.key]), np.concatenate([self.place, other.place])
-        both.who = rank[np.concatenate([self.who, other.who + len(self.nodes)])]
-        return both, order < len(self.nodes)
-
-
-def compare(left: Block, right: Block | None) -> tuple[np.ndarray, np.ndarray]:
-    """Links (a, b, offset) and errors of two blocks of nodes (of one, if right is None): votes and bits of all pairs."""
-    every, of_left = left.beside(right) if right else (left, None)
-    if right:  # only what both have can vote
-        shared = np.isin(every.key, np.intersect1d(left.key, right.key))
-    else:
-        shared = np.ones(len(every.key), bool)
-    nodes, ints = every.nodes, every.ints
-    size, total = np.array([len(x) for x in ints]), len(ints)
-    many = np.bincount(every.who, minlength=total)
-    key, who, place = every.key[shared], every.who[shared], every.place[shared]
-    order = np.lexsort((place, who, key))
-    key, who, place = key[order], who[order], place[order]
-    held = []
-
-    def summed(held):
-        code, votes = (np.concatenate(x) for x in zip(*held, strict=True))
-        unique, at = np.unique(code, return_inverse=True)
-        return unique, np.bincount(at, votes).astype(np.int64)
-
-    for x, y, offset in pairings(key, who, place, size[who]):
-        if right is not None:
-            across = of_left[who[x]] != of_left[who[y]]
-            x, y, offset = x[across], y[across], offset[across]
-        code, votes = np.unique(((who[x] * total + who[y]) << 32) + offset + (1 << 31), return_counts=True)
-        held.append((code, votes))
-        if len(held) > 8:
-            held = [summed(held)]
-    if not held or not sum(len(x) for x, _ in held):
-        return np.zeros((0, 3), np.int64), np.zeros(0)
-    code, count = summed(held)
-    pair, offset = code >> 32, (code & 0xFFFFFFFF) - (1 << 31)
-    order = np.lexsort((offset, count, pair))  # the best offset of each pair comes last
-    last = order[np.append(pair[order][1:] != pair[order][:-1], True)]
-    last = last[count[last] >= np.minimum(VOTES, np.minimum(many[pair[last] // total], many[pair[last] % total]))]
-    a, b, offset = pair[last] // total, pair[last] % total, offset[last]
-    _, error = all_errors(ints, a, b, offset)
-    keep = error <= ERRORS
-    return np.column_stack([nodes[a], nodes[b], offset])[keep], error[keep]
+class Sides:
+    """The nodes of two classes (or of one): their shared landmarks, and their integers once they are asked for."""
+
+    def __init__(self, batches: Iterator, classes: int):
+        self.frames, packs, self.one = {}, {}, True
+        for batch in batches:
+            first, second = batch.column(0)[0].as_py(), batch.column(1)[0].as_py()
+            self.one, left = first == second, first
+            heard = batch.select(["node", "frames"]).filter(batch.column("frames").is_valid())
+            self.frames.update(zip(heard.column(0).to_pylist(), heard.column(1).to_pylist(), strict=True))
+            sets = batch.filter(batch.column("shard").is_valid())
+            for shard, *row in zip(*(sets.column(c).to_pylist() for c in ("shard", *SETS)), strict=True):
+                packs.setdefault(shard, []).append([unplaned(x, k) for x, k in zip(row, SETS.values(), strict=True)])
+        pa.default_memory_pool().release_unused()
+        held = [x for pack in packs.values() for x in pack]
+        self.nodes, at = np.unique(np.concatenate([np.zeros(0, np.int64), *(x[1] for x in held)]), return_index=True)
+        sizes = np.concatenate([np.zeros(0, np.int64), *(x[2].astype(np.int64) for x in held)])[at]
+        del held
+        self.size, self.few = np.abs(sizes), sizes < 0
+        self.left = class_of(self.nodes, classes) == left if len(self.nodes) else np.zeros(0, bool)
+        # of each shard what the first class has and what the other has
+        self.sets = []
+        while packs:
+            sides = [], []
+            for numbers, nodes, _, index, places in packs.popitem()[1]:
+                who = np.searchsorted(self.nodes, nodes)
+                sides[not self.left[who[0]]].append((np.cumsum(numbers, dtype=np.int64) * len(self.nodes) + who[index], who.astype(np.int32)[index], places))
+            if self.one or all(sides):
+                self.sets += [(sides[0][0], sides[0][0])] if self.one else [(sides[0][0], sides[1][0]), (sides[1][0], sides[0][0])]
+        # room for all integers; what is not asked for is never touched
+        self.flat, self.begin, self.used = np.empty(int(self.size.sum()), np.uint32), np.full(len(self.nodes), -1), 0
+
+    def candidates(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """a, b and offset of pairs to verify: the offset with most votes, if these are enough. About most votes are summed at once."""
+        total, bits = len(self.nodes), int(self.size.max(initial=0)).bit_length() + 1
+        half = 1 << (bits - 1)
+        # each node is tried against those behind it; the nodes take turns
+        many = 0
+        for one, other in self.sets:
+            counts = [np.bincount(x[0] // total) for x in (one, other)]
+            n = min(map(len, counts))
+            many += int((counts[0][:n] * counts[1][:n]).sum()) // 2
+        turns = max(1, min(total, -(-many // most)))
+        for turn in range(turns):
+            held = [np.zeros(0, np.int64)]
+            for one, other in self.sets:
+                for a, b, offset in pairings(one, other, total, self.size, (lambda x, t=turn: x % turns == t) if turns > 1 else None):
+                    held.append((a * total + b << bits) + (offset + half))
+            code = np.concatenate(held)
+            del held
+            code.sort()
+            start = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
+            votes, code = np.diff(np.append(start, len(code))), code[start]
+            enough = votes >= VOTES
+            if self.few.any():  # one vote is enough if one of them has no more landmarks
+                pair = code >> bits
+                enough |= self.few[pair // total] | self.few[pair % total]
+            votes, code = votes[enough], code[enough]
+            order = np.lexsort((code, votes, code >> bits))  # the best offset of each pair comes last
+            code = code[order]
+            code = code[np.append(code[1:] >> bits != code[:-1] >> bits, True)[: len(code)]]
+            pair = code >> bits
+            yield pair // total, pair % total, (code & ((1 << bits) - 1)) - half
+
+    def verified(self, a: np.ndarray, b: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the pairs are links, and the errors of all."""
+        wanted = np.zeros(len(self.nodes), bool)
+        wanted[a], wanted[b] = True, True
+        new = np.flatnonzero(wanted & (self.begin < 0))
+        turn = np.cumsum(self.size[new]) // UNPACKED
+        for own in np.split(new, np.flatnonzero(turn[1:] != turn[:-1]) + 1):
+            for x, ints in zip(own.tolist(), integers_of([self.frames.pop(x) for x in self.nodes[own].tolist()]), strict=True):
+                self.begin[x], self.used = self.used, self.used + len(ints)
+                self.flat[self.begin[x] : self.used] = ints
+        share, error = all_errors(self.flat, self.begin, self.size, a, b, offset)
+        return (share >= SHARE) & (error <= ERRORS), error
 
 
 def joined(edges: np.ndarray) -> np.ndarray:
@@ -712,86 +598,65 @@ def joined(edges: np.ndarray) -> np.ndarray:
             return np.column_stack([nodes[label[others]], nodes[others]])
 
 
-def homes_of(hot: DataFrame, size: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Blocks of the nodes that have hot keys (key, node): node and block; and pairs i <= j of blocks that meet.
+def linked(rows: DataFrame, i: int, j: int) -> DataFrame:
+    """What is stored of two classes (of one, if they are the same), read by one task."""
+    own = rows.where(F.col("class").isin(i, j)).coalesce(1)
+    return own.select(F.lit(i).alias("i"), F.lit(j).alias("j"), "node", "frames", "shard", *SETS)
 
-    A node is in one block, with others of its commonest key; keys with few such nodes share a block. Blocks meet if they
-    share a key, so each pair of nodes meets once.
-    """
-    counts = hot.groupBy("key").agg(F.count("*").alias("count"))
-    top = hot.join(counts, "key").groupBy("node").agg(F.max(F.struct("count", "key")).alias("top")).select("node", "top.key")
-    top = stored(top.join(top.groupBy("key").agg(F.count("*").alias("n")), "key"), "audio-top")
-    pools = max(1, -(-top.where(F.col("n") < size // 2).count() // size))
-    salt = F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("n") / size))
-    own, pool = F.concat_ws("-", "key", salt), F.concat(F.lit("pool-"), F.pmod(F.xxhash64("key", F.lit(2)), F.lit(pools)).cast("string"))
-    homes = stored(top.select("node", F.when(F.col("n") < size // 2, pool).otherwise(own).alias("block")), "audio-homes")
-    held = hot.join(homes, "node").select("key", "block").distinct()
-    met = held.withColumnRenamed("block", "i").join(held.withColumnRenamed("block", "j"), "key").where("i <= j")
-    return homes, stored(met.select("i", "j").distinct(), "audio-met")
-
-
-def crowded(homes: DataFrame, met: DataFrame, frames: DataFrame, every: bool) -> DataFrame:
-    """Links within pairs of blocks: all (a, b, offset, error), or edges that join as they do (a, b) and the links of each node (a, n)."""
-    packs = frames.join(homes, "node").groupBy("block").agg(F.collect_list(F.struct("node", "frames")).alias("held"))
-    # a block and some of those that it meets make a task's group: its own integers are made once
-    some = F.pmod(F.xxhash64("j"), F.lit(max(1, homes.select("block").distinct().count() // MEETS))).alias("some")
-    sides = met.select("i", some, F.explode(F.array_distinct(F.array("i", "j"))).alias("block"), (F.col("i") == F.col("j")).alias("own"))
-    sides = sides.groupBy("i", "some", "block").agg(F.max("own").alias("own")).join(packs, "block")
-
-    def run(key, table):
-        first, found, tree, each = key[0].as_py(), [], [], []
-        own = any(own for own, block in zip(table.column("own").to_pylist(), table.column("block").to_pylist(), strict=True) if block == first)
-        names = table.column("block").to_pylist()
-        for row in sorted(range(len(names)), key=lambda i: names[i] != first):
-            name, held = names[row], table.column("held")[row].as_py()
-            block = Block([x["node"] for x in held], integers_of([x["frames"] for x in held]))
-            if name == first:
-                mine = block
-                if not own:
+
+def compared(sides: DataFrame, classes: int, most: int, size: int, every: bool) -> DataFrame:
+    """Links within pairs of classes: all (a, b, offset, error), or edges that join as they do (a, b) and the links of each node (a, n)."""
+
+    def run(batches):
+        side = Sides(batches, classes)
+        tree, each = [np.zeros((0, 2), np.int64)], np.zeros(len(side.nodes), np.int64)
+        for found in side.candidates(most):
+            for at in range(0, len(found[0]), size):
+                a, b, offset = (x[at : at + size] for x in found)
+                keep, error = side.verified(a, b, offset)
+                a, b, offset, error = a[keep], b[keep], offset[keep], error[keep]
+                if every:
+                    yield pa.RecordBatch.from_arrays([pa.array(side.nodes[a]), pa.array(side.nodes[b]), pa.array(offset), pa.array(error)], ["a", "b", "offset", "error"])
                     continue
-            edges, error = compare(mine, None if name == first else block)
-            if every:
-                found.append((edges[:, 0], edges[:, 1], edges[:, 2], error))
-            else:
-                tree.append(joined(edges[:, :2]))
-                each.append(np.unique(edges[:, :2], return_counts=True))
-        if every:
-            columns = [np.concatenate(x) for x in zip(*found, strict=True)] or [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
-            return pa.table(dict(zip(("a", "b", "offset", "error"), columns, strict=True)))
-        tree = joined(np.concatenate([np.zeros((0, 2), np.int64), *tree]))
-        node, n = summed(*(np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*each, strict=True) if each else ([], []))))
-        none = lambda k: pa.nulls(k, pa.int64())
-        columns = [(tree[:, 0], node), (tree[:, 1], none(len(node))), (none(len(tree)), n)]
-        return pa.table({k: pa.chunked_array([pa.array(x), pa.array(y)], pa.int64()) for k, (x, y) in zip("abn", columns, strict=True)})
-
-    return sides.groupBy("i", "some").applyInArrow(run, "a long, b long, offset long, error double" if every else "a long, b long, n long")
-
-
-def links(spark: SparkSession, scan: Scan, most: int = HOT, size: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links between nodes: edges that join what they join (a, b), how many each node has (node, n_links), and all (a, b, offset, error)."""
-    votes = stored(counted(shared_landmarks(scan, max(1, parts(spark) // 2), most)), "audio-votes")
-    crowds = votes.where("bucket IS NULL").select("key", "node", "marks")
-    # a key may hold several of a node's landmarks; each counts once
-    made_of = crowds.groupBy("node", "marks").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD * F.col("marks")).select("node")
-    homes, met = homes_of(crowds.join(made_of, "node", "left_semi").select("key", "node"), size)
-    # pairs whose blocks meet are compared there
-    near = best_offsets(votes.where("bucket IS NOT NULL"))
-    side = lambda x, y: homes.select(F.col("node").alias(x), F.col("block").alias(y))
-    near = near.join(side("a", "p"), "a", "left").join(side("b", "q"), "b", "left").withColumns({"i": F.least("p", "q"), "j": F.greatest("p", "q")})
-    near = stored(near.join(met, ["i", "j"], "left_anti").select("a", "b", "offset"), "audio-near")
-    nodes = stored(near.select(F.explode(F.array("a", "b")).alias("node")).unionAll(homes.select("node")).distinct(), "audio-wanted")
-    frames = stored(frames_of(scan, nodes), "audio-frames")
-    busy = stored(crowded(homes, met, frames, False), "audio-busy")
-    few = stored(verified(near, frames), "audio-links")
-    each = few.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("n")).unionAll(busy.where("n IS NOT NULL").select("a", "n"))
-    tree = few.select("a", "b").unionAll(busy.where("b IS NOT NULL").select("a", "b"))
-    return tree, each.groupBy("node").agg(F.sum("n").alias("n_links")), few.unionAll(crowded(homes, met, frames, True))
-
-
-def align(df: DataFrame, id_col: str, media: str, decode: Callable = pcm16) -> tuple[DataFrame, DataFrame]:
-    """The recordings (id, n_frames, n_ints, node, component_id, n_links), and the links between nodes."""
+                each += np.bincount(a, minlength=len(each)) + np.bincount(b, minlength=len(each))
+                tree = [joined(np.concatenate([*tree, np.column_stack([a, b])]))]
+        if not every:
+            tree, some = tree[0], np.flatnonzero(each)
+            none = lambda k: pa.nulls(k, pa.int64())
+            for columns in ((pa.array(side.nodes[tree[:, 0]]), pa.array(side.nodes[tree[:, 1]]), none(len(tree))), (pa.array(side.nodes[some]), none(len(some)), pa.array(each[some]))):
+                yield pa.RecordBatch.from_arrays(list(columns), ["a", "b", "n"])
+
+    return sides.mapInArrow(run, "a long, b long, offset long, error double" if every else "a long, b long, n long")
+
+
+def links(spark: SparkSession, scan: Scan, most: int = SUMMED, size: int = VERIFIED, classes: int = CLASSES, every: bool = True) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Links between nodes: edges that join what they join (a, b), how many each node has (node, n_links), and all (a, b, offset, error; if every).
+
+    most votes are summed and size pairs verified at once; these, and classes, do not change the links.
+    """
+    at = fresh_path(spark, "audio-classes")
+    frames = class_frames(scan, classes)
+    schema = f"class int, node long, frames binary, shard int, {', '.join(f'{c} binary' for c in SETS)}"
+    frames.write.partitionBy("class").parquet(at)
+    heard = stored_frames(spark.read.schema(schema).parquet(at))
+    shared = shared_landmarks(heard, max(1, parts(spark) // 2), classes)
+    shared.write.mode("append").partitionBy("class").parquet(at)
+    rows = spark.read.schema(schema).parquet(at)
+    nothing = rows.where("class < 0").select(F.lit(0).alias("i"), F.lit(0).alias("j"), "node", "frames", "shard", *SETS)
+    pairs = [(i, j) for i in range(classes) for j in range(i, classes)]
+    # beside a read of no class, as Spark would put single partitions alone into one
+    rounds = [reduce(DataFrame.unionAll, [linked(rows, *x) for x in pairs[k : k + ROUND]], nothing) for k in range(0, len(pairs), ROUND)]
+    busy = reduce(DataFrame.unionAll, [stored(compared(x, classes, most, size, False), "audio-links") for x in rounds])
+    each = busy.where("n IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
+    found = reduce(DataFrame.unionAll, [compared(x, classes, most, size, True) for x in rounds]) if every else None
+    return busy.where("b IS NOT NULL").select("a", "b"), each, found
+
+
+def align(df: DataFrame, id_col: str, media: str, decode: Callable = pcm16, every: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """The recordings (id, n_frames, n_ints, node, component_id, n_links), and the links between nodes (if every)."""
     prints = stored(fingerprints(df, id_col, media, decode), "audio-prints")
-    tree, each, found = links(df.sparkSession, hearing(df, media, decode))
+    classes = max(CLASSES, -(-(prints.agg(F.sum("n_ints")).first()[0] or 0) // CLASS))
+    tree, each, found = links(df.sparkSession, hearing(df, media, decode), classes=classes, every=every)
     nodes = prints.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
     linked = nodes.join(components(tree), "node", "left")
     # a large class is dealt by salt, for its head's id as for its members
@@ -808,5 +673,5 @@ def align(df: DataFrame, id_col: str, media: str, decode: Callable = pcm16) -> t
 
 def op8_audio_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_frames, n_ints, component_id and n_links of every document, played as tones."""
-    rows, _ = align(documents(spark, sf_dir), "doc_id", "text", tones)
+    rows, _ = align(documents(spark, sf_dir), "doc_id", "text", tones, every=False)
     return rows.select(F.col("id").alias("doc_id"), "n_frames", "n_ints", "component_id", "n_links")

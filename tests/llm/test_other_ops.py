@@ -556,6 +556,46 @@ def test_audio_links_are_all_pairs(spark, most, size):
         assert same(groups([(x.a, x.b) for x in tree.collect()])) == same(groups(want))
 
 
+def test_audio_counts_every_vote(spark):
+    """Links by landmarks that each meet at another node, and by a passage that many others have too."""
+    r = np.random.default_rng(3)
+    heard = {}
+
+    def add(node, tune):
+        frames = audio_match._HEARD[tune]
+        heard[node] = frames, audio_match.integers(frames, np.array([0, len(frames)]))[0]
+
+    def edited(tune, low=0, high=0):
+        out, at = tune.copy(), np.arange(5, len(tune), 11)
+        at = at[(at < low) | (at >= high)]
+        out[at] = (out[at] + 2) % 12
+        return out
+
+    for turn in range(12):
+        base = r.integers(0, 12, 400)
+        add(10_000 + turn, base)
+        add(20_000 + turn, edited(base))
+        # each landmark of both is one of a lesser node too
+        of = [dict(zip(*(x.tolist() for x in audio_match.landmarks(heard[n][1])), strict=True)) for n in (10_000 + turn, 20_000 + turn)]
+        for k, place in of[0].items():
+            if of[1].get(k) == place:
+                add(len(heard), np.concatenate([r.integers(0, 12, 200), base[max(0, place - 5) : place + 18], r.integers(0, 12, 200)]))
+    passage = r.integers(0, 12, 22)
+    for k in range(100):
+        x = r.integers(0, 12, 400)
+        x[200:222] = passage
+        add(1000 + 2 * k, x)
+        if k < 12:
+            add(1001 + 2 * k, edited(x, 200, 222))
+    prints = {n: x for n, (_, x) in heard.items()}
+    want = brute_links(prints)
+    assert sum((10_000 + k, 20_000 + k) in want for k in range(12)) > 2 and sum((1000 + 2 * k, 1001 + 2 * k) in want for k in range(12)) > 2
+    nodes = spark.createDataFrame([(k, bytearray(v.tobytes())) for k, (v, _) in heard.items()], "node long, frames binary")
+    _, each, found = audio_match.links(spark, audio_match.hearing_frames(nodes))
+    assert sorted((x.a, x.b) for x in found.collect()) == sorted(want)
+    assert {x.node: x.n_links for x in each.collect()} == dict(Counter(itertools.chain(*want)))
+
+
 def test_op8_null_ids_and_clashing_columns(spark, tables):
     words = lambda n, k: " ".join(f"w{(i * 7919 + k * 104729) % 1009}x{i}" for i in range(n))
     docs = [(None, words(60, 1)), (5, words(60, 1)), (None, words(70, 2)), (3, words(60, 3)), (3, words(60, 3)), (4, None), (None, "")]

@@ -6,6 +6,7 @@ of half PART_RADIUS around it: two texts meet if any of their words lie within P
 simhash: by the leading bits of a variant first (packed), the variants themselves are made where they meet, in bounded
 memory. Of those that meet the least stands for the others that are within FAR bits of it in the whole fingerprint; the
 rest goes on among itself. So nothing is paired with all of its group, and what is far from the least is not lost with it.
+Links that can't be as similar, by their numbers of shingles and by the parities of 64 shares of these, go no further.
 Every such link is then verified on the texts: the Jaccard similarity of their sets of shingles, exactly; first each text against
 its least candidate, then what is not in one class by that. Classes are the components of verified links; texts of the same words (ASCII case apart) are one node.
 
@@ -33,6 +34,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 PARTS, PART_RADIUS, FAR = 4, 4, 28
 #: Nodes packed at once, variants made at once, and nodes aimed at for each leading value.
 PACKED, AT_ONCE, AIM = 16_384, 1_000_000, 20_000
+#: What is known of a node's shingles: both halves of the fingerprint, their parities and how many there are.
+PRINT = ("one", "two", "parity", "many")
 _U = np.uint64
 
 
@@ -51,8 +54,9 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return out, many
 
 
-def wide_prints(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Node (a hash of the words) and the two halves of the fingerprint of every document."""
+def wide_prints(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, ...]:
+    """Node (a hash of the words), the two halves of the fingerprint, the parities of 64 shares of the different shingles
+    and how many of these there are, of every document."""
     words = Words(LOWER[data], offsets, SOLID)
     raw = words.hashes.tobytes()
     node = [xxhash.xxh3_64_intdigest(raw[8 * a : 8 * b]) for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)]
@@ -66,11 +70,27 @@ def wide_prints(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> t
             counts = np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
             half[some] = np.packbits(counts * 2 > many[some, None], axis=1, bitorder="little").view("<u8").ravel()
         halves.append(half)
-    return np.array(node, np.uint64), halves[0], halves[1]
+    doc = np.repeat(np.arange(len(many)), many)
+    order = np.lexsort((hashes, doc))
+    hashes, doc = hashes[order], doc[order]
+    other = np.append(True, (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1]))[: len(doc)]
+    hashes, doc = hashes[other], doc[other]
+    kinds, parity = np.bincount(doc, minlength=len(many)), np.zeros(len(many), np.uint64)
+    if len(doc):
+        parity[some] = np.bitwise_xor.reduceat(_U(1) << (mix(hashes) >> _U(58)), (np.cumsum(kinds) - kinds)[some])
+    return np.array(node, np.uint64), halves[0], halves[1], parity, kinds.astype(np.uint64)
+
+
+def similar(x: np.ndarray, y: np.ndarray, apart: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of x and y shingles may be as similar, if the parities of apart of their shares differ.
+
+    Each shingle that only one of them has changes one parity, so none that are as similar are left out.
+    """
+    return (np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-6) & (apart <= (x + y) * (1 - similarity) / (1 + similarity) + 1e-6)
 
 
 def fingerprints(df: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
-    """id, spelling (a hash of the text as it is), node and both halves of the fingerprint of every row."""
+    """id, spelling (a hash of the text as it is), node, both halves of the fingerprint, parities and count of the shingles of every row."""
 
     def run(batches):
         for batch in batches:
@@ -78,11 +98,11 @@ def fingerprints(df: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
             for i, j in slices(offsets):
                 found = wide_prints(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
                 own = [batch.column(k).slice(i, j - i) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*own, *(pa.array(x.view(np.int64)) for x in found)], ["id", "spelling", "node", "one", "two"])
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(x.view(np.int64)) for x in found)], ["id", "spelling", "node", *PRINT])
 
     kind = dict(df.dtypes)[id_col]
     return df.select(F.col(id_col).alias("id"), spelling(text).alias("spelling"), F.col(text).alias("text")).mapInArrow(
-        run, f"id {kind}, spelling long, node long, one long, two long"
+        run, f"id {kind}, spelling long, node long, " + ", ".join(f"{c} long" for c in PRINT)
     )
 
 
@@ -141,8 +161,8 @@ def stars(who: np.ndarray, size: np.ndarray, node: np.ndarray, one: np.ndarray,
     return np.unique(np.concatenate([np.zeros((0, 2), np.int64), *out]), axis=0)
 
 
-def candidates(nodes: DataFrame, far: int = FAR, lead: int | None = None, at_once: int = AT_ONCE) -> DataFrame:
-    """Links (a, b) of nodes (node, one, two) that a variant of some word brings together."""
+def candidates(nodes: DataFrame, far: int = FAR, lead: int | None = None, at_once: int = AT_ONCE, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) of nodes (node, one, two, parity, many) that a variant of some word brings together and that may be as similar."""
     half = PART_RADIUS // 2
     lead = lead or max(6, min(16, ceil(log2(max(2, nodes.count()) / AIM))))
     masks = flips(0, lead, half)
@@ -151,7 +171,7 @@ def candidates(nodes: DataFrame, far: int = FAR, lead: int | None = None, at_onc
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, PACKED):
-                node, one, two = (batch.column(k).slice(at, PACKED).to_numpy() for k in range(3))
+                node, one, two, parity, many = (batch.column(k).slice(at, PACKED).to_numpy() for k in range(5))
                 for part in range(PARTS):
                     word = ((one, two)[part // 2].view(np.uint64) >> _U(32 * (part % 2))) & _U(0xFFFFFFFF)
                     key = ((word >> _U(32 - lead))[:, None] ^ masks[None, :]).ravel().astype(np.int64)
@@ -159,24 +179,27 @@ def candidates(nodes: DataFrame, far: int = FAR, lead: int | None = None, at_onc
                     edge, row = np.searchsorted(key[order], np.arange((1 << lead) + 1)), order // len(masks)
                     left = (half - spent)[order % len(masks)].astype(np.uint8)
                     used = np.flatnonzero(np.diff(edge)).tolist()
-                    packs = [[pa.array([x[edge[k] : edge[k + 1]].tobytes() for k in used], pa.binary())] for x in (node[row], one[row], two[row], left)]
+                    packs = [[pa.array([x[edge[k] : edge[k + 1]].tobytes() for k in used], pa.binary())] for x in (node[row], one[row], two[row], parity[row], many[row].astype("<u4"), left)]
                     keys = pa.array([(part << lead) + k for k in used], pa.int32())
-                    yield pa.RecordBatch.from_arrays([keys, *(x for x, in packs)], ["key", "node", "one", "two", "left"])
+                    yield pa.RecordBatch.from_arrays([keys, *(x for x, in packs)], ["key", "node", *PRINT, "left"])
 
     def meet(key, table):
         joined = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-        node, one, two = joined("node", "<i8"), joined("one", "<u8"), joined("two", "<u8")
+        node, one, two, parity = joined("node", "<i8"), *(joined(c, "<u8") for c in PRINT[:3])
+        many = joined("many", "<u4").astype(np.int64)
         part = key[0].as_py() >> lead
         word = ((one, two)[part // 2] >> _U(32 * (part % 2))) & _U((1 << 32 - lead) - 1)
         found = [np.zeros((0, 2), np.int64)]
         for who, size in colliding(word, joined("left", np.uint8).astype(np.int64), 32 - lead, at_once):
-            found.append(stars(who, size, node, one, two, far))
+            pairs = stars(who, size, node, one, two, far)
+            x, y = pairs.T
+            found.append(pairs[similar(many[x], many[y], np.bitwise_count(parity[x] ^ parity[y]), similarity)])
             if len(found) > 64:
                 found = [np.unique(np.concatenate(found), axis=0)]
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": node[pairs[:, 0]], "b": node[pairs[:, 1]]})
 
-    packed = nodes.select("node", "one", "two").mapInArrow(run, "key int, node binary, one binary, two binary, left binary")
+    packed = nodes.select("node", *PRINT).mapInArrow(run, "key int, node binary, " + ", ".join(f"{c} binary" for c in (*PRINT, "left")))
     return packed.groupBy("key").applyInArrow(meet, "a long, b long").where("a <> b").distinct()
 
 
@@ -228,8 +251,8 @@ def verified(near: DataFrame, texts: DataFrame, size: int, similarity: float) ->
 def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """id, spelling, node and root (the class) of every row."""
     prints = stored(fingerprints(df, id_col, text, size), "copies-prints")
-    nodes = stored(prints.groupBy("node").agg(F.first("one").alias("one"), F.first("two").alias("two")), "copies-nodes")
-    near = stored(candidates(nodes), "copies-near")
+    nodes = stored(prints.groupBy("node").agg(*(F.first(c).alias(c) for c in PRINT)), "copies-nodes")
+    near = stored(candidates(nodes, similarity=similarity), "copies-near")
     wanted = stored(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "copies-wanted")
     texts = stored(texts_of(df, text, wanted), "copies-texts")
     # each node against its least candidate first: of what this joins, no further link has to be verified

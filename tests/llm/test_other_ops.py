@@ -667,6 +667,33 @@ def test_near_copies_are_similar_pairs(spark, tables):
     assert len(near) > 200 and together > 0.95, together
 
 
+def test_near_copies_that_cannot_be_similar_are_no_links(spark):
+    r = np.random.default_rng(8)
+    docs = []
+    for length in (16, 30, 60, 240):
+        base = [f"w{x}" for x in r.integers(0, 300, length)]
+        for k in range(10):
+            words = list(base)
+            for at in r.integers(0, length, 1 + k % 3):
+                words[at] = f"v{r.integers(0, 999)}"
+            docs.append(" ".join(words + words[:6] * (k % 2)).encode())
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in docs])])
+    node, one, two, parity, many = near_copies.wide_prints(np.frombuffer(b"".join(docs), np.uint8), offsets)
+    grams = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (x.split() for x in docs)]
+    assert many.tolist() == [len(x) for x in grams]
+    pairs = list(itertools.combinations(range(len(docs)), 2))
+    a, b = np.array(pairs).T
+    like = np.array([len(grams[x] & grams[y]) / len(grams[x] | grams[y]) for x, y in pairs])
+    may = near_copies.similar(many[a].astype(np.int64), many[b].astype(np.int64), np.bitwise_count(parity[a] ^ parity[b]), 0.8)
+    short = (many[a] < 20) & (many[b] < 20)
+    assert may[like >= 0.8].all() and (like >= 0.8).sum() > 10 and not may[short & (like < 0.5)].any()
+    rows = [(int(n), *(int(x.view(np.int64)) for x in row)) for n, *row in zip(node.view(np.int64), one, two, parity, many, strict=True)]
+    nodes = spark.createDataFrame(rows, "node long, " + ", ".join(f"{c} long" for c in near_copies.PRINT))
+    found, every = ({(x.a, x.b) for x in near_copies.candidates(nodes, similarity=s).collect()} for s in (0.8, 0.0))
+    told = {tuple(sorted((rows[x][0], rows[y][0]))): s for (x, y), s in zip(pairs, like.tolist(), strict=True)}
+    assert found < every and {x for x in every if told[x] >= 0.8} <= found
+
+
 def test_near_copies_in_bounded_memory():
     rng = np.random.default_rng(5)
     center = rng.integers(0, 2**26, dtype=np.uint64)

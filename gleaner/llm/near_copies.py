@@ -228,7 +228,7 @@ def verified(near: DataFrame, texts: DataFrame, size: int, similarity: float) ->
     """Those of the links (a, b) whose texts are as similar; a bucket of links is sent a text once."""
     buckets = 4 * parts(near.sparkSession)
     bucket = F.pmod(F.xxhash64("a", F.lit(5)), F.lit(buckets)).cast("int").alias("bucket")
-    members = near.select(bucket, F.explode(F.array("a", "b")).alias("node")).distinct()
+    members = near.select(bucket, F.col("a").alias("node")).distinct().unionAll(near.select(bucket, F.col("b").alias("node")).distinct()).distinct()
     sent = texts.join(members, "node").select("bucket", "node", "packed")
 
     def run(links, held):
@@ -253,7 +253,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", size:
     prints = stored(fingerprints(df, id_col, text, size), "copies-prints")
     nodes = stored(prints.groupBy("node").agg(*(F.first(c).alias(c) for c in PRINT)), "copies-nodes")
     near = stored(candidates(nodes, similarity=similarity), "copies-near")
-    wanted = stored(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "copies-wanted")
+    wanted = stored(near.select(F.col("a").alias("node")).distinct().unionAll(near.select(F.col("b").alias("node")).distinct()).distinct(), "copies-wanted")
     texts = stored(texts_of(df, text, wanted), "copies-texts")
     # each node against its least candidate first: of what this joins, no further link has to be verified
     first = near.groupBy("b").agg(F.min("a").alias("a"))

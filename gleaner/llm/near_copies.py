@@ -6,9 +6,11 @@ of half PART_RADIUS around it: two texts meet if any of their words lie within P
 simhash: by the leading bits of a variant first (packed), the variants themselves are made where they meet, in bounded
 memory. Of those that meet the least stands for the others that are within FAR bits of it in the whole fingerprint; the
 rest goes on among itself. So nothing is paired with all of its group, and what is far from the least is not lost with it.
-Links that can't be as similar, by their numbers of shingles and by the parities of 64 shares of these, go no further.
-Every such link is then verified on the texts: the Jaccard similarity of their sets of shingles, exactly; first each text against
-its least candidate, then what is not in one class by that. Classes are the components of verified links; texts of the same words (ASCII case apart) are one node.
+Links that can't be as similar, by their numbers of shingles and by the parities of 256 shares of these, go no further.
+Every such link is verified on the texts: the Jaccard similarity of their sets of shingles, exactly. There are two rounds. In the
+first only equal leading bits meet, and each node is verified against the least that it meets there: a few rows a node. In the
+second all meet, and only links between classes of the first are made: a group that is one class by then makes no more rows.
+Classes are the components of verified links; texts of the same words (ASCII case apart) are one node.
 
 Null and empty texts have no words and are one node. Texts of fewer words than a shingle have one shingle, all their words.
 Repeated rows and rows with a null id take part like any other. An empty table gives no rows.
@@ -36,6 +38,8 @@ PARTS, PART_RADIUS, FAR = 4, 4, 28
 PACKED, AT_ONCE, AIM = 16_384, 1_000_000, 20_000
 #: What is known of a node's shingles: both halves of the fingerprint, their parities and how many there are.
 PRINT = ("one", "two", "parity", "many")
+#: The parities of 64 shares of each quarter of the shingles but the last; with it they make parity.
+FINE = ("fine0", "fine1", "fine2")
 _U = np.uint64
 
 
@@ -57,6 +61,11 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 def wide_prints(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, ...]:
     """Node (a hash of the words), the two halves of the fingerprint, the parities of 64 shares of the different shingles
     and how many of these there are, of every document."""
+    return fine_prints(data, offsets, size)[:5]
+
+
+def fine_prints(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, ...]:
+    """What wide_prints() gives, and the parities of each quarter of the shingles but the last."""
     words = Words(LOWER[data], offsets, SOLID)
     raw = words.hashes.tobytes()
     node = [xxhash.xxh3_64_intdigest(raw[8 * a : 8 * b]) for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)]
@@ -75,10 +84,21 @@ def wide_prints(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> t
     hashes, doc = hashes[order], doc[order]
     other = np.append(True, (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1]))[: len(doc)]
     hashes, doc = hashes[other], doc[other]
-    kinds, parity = np.bincount(doc, minlength=len(many)), np.zeros(len(many), np.uint64)
+    kinds, parity = np.bincount(doc, minlength=len(many)), np.zeros((1 + len(FINE), len(many)), np.uint64)
     if len(doc):
-        parity[some] = np.bitwise_xor.reduceat(_U(1) << (mix(hashes) >> _U(58)), (np.cumsum(kinds) - kinds)[some])
-    return np.array(node, np.uint64), halves[0], halves[1], parity, kinds.astype(np.uint64)
+        mixed, begin = mix(hashes), (np.cumsum(kinds) - kinds)[some]
+        share, quarter = _U(1) << (mixed >> _U(58)), (mixed >> _U(56)) & _U(3)
+        parity[0, some] = np.bitwise_xor.reduceat(share, begin)
+        for k in range(len(FINE)):
+            parity[1 + k, some] = np.bitwise_xor.reduceat(np.where(quarter == k, share, _U(0)), begin)
+    return np.array(node, np.uint64), halves[0], halves[1], parity[0], kinds.astype(np.uint64), *parity[1:]
+
+
+def differing(parity: np.ndarray, fine: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many parities of rows x and y differ: of 64 shares, or of 256 where the quarters are known."""
+    if not fine:
+        return np.bitwise_count(parity[x] ^ parity[y])
+    return sum(np.bitwise_count(q[x] ^ q[y]).astype(np.int64) for q in (*fine, np.bitwise_xor.reduce([parity, *fine])))
 
 
 def similar(x: np.ndarray, y: np.ndarray, apart: np.ndarray, similarity: float) -> np.ndarray:
@@ -90,19 +110,19 @@ def similar(x: np.ndarray, y: np.ndarray, apart: np.ndarray, similarity: float)
 
 
 def fingerprints(df: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
-    """id, spelling (a hash of the text as it is), node, both halves of the fingerprint, parities and count of the shingles of every row."""
+    """id, spelling (a hash of the text as it is), node, both halves of the fingerprint, parities (of quarters too) and count of the shingles of every row."""
 
     def run(batches):
         for batch in batches:
             data, offsets = text_buffer(batch.column(2))
             for i, j in slices(offsets):
-                found = wide_prints(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
+                found = fine_prints(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
                 own = [batch.column(k).slice(i, j - i) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*own, *(pa.array(x.view(np.int64)) for x in found)], ["id", "spelling", "node", *PRINT])
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(x.view(np.int64)) for x in found)], ["id", "spelling", "node", *PRINT, *FINE])
 
     kind = dict(df.dtypes)[id_col]
     return df.select(F.col(id_col).alias("id"), spelling(text).alias("spelling"), F.col(text).alias("text")).mapInArrow(
-        run, f"id {kind}, spelling long, node long, " + ", ".join(f"{c} long" for c in PRINT)
+        run, f"id {kind}, spelling long, node long, " + ", ".join(f"{c} long" for c in (*PRINT, *FINE))
     )
 
 
@@ -161,46 +181,66 @@ def stars(who: np.ndarray, size: np.ndarray, node: np.ndarray, one: np.ndarray,
     return np.unique(np.concatenate([np.zeros((0, 2), np.int64), *out]), axis=0)
 
 
-def candidates(nodes: DataFrame, far: int = FAR, lead: int | None = None, at_once: int = AT_ONCE, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) of nodes (node, one, two, parity, many) that a variant of some word brings together and that may be as similar."""
+def candidates(nodes: DataFrame, far: int = FAR, lead: int | None = None, at_once: int = AT_ONCE, similarity: float = SIMILARITY, own: bool = False) -> DataFrame:
+    """Links (a, b) of nodes (node, one, two, parity, many; quarters of the parity and a class, root, if known) that a variant of
+    some word brings together and that may be as similar, but for those within a class (0 is none).
+
+    own: only of nodes with equal leading bits, and of each node b there only the link to the least a.
+    """
     half = PART_RADIUS // 2
     lead = lead or max(6, min(16, ceil(log2(max(2, nodes.count()) / AIM))))
-    masks = flips(0, lead, half)
+    masks = flips(0, lead, 0 if own else half)
     spent = np.bitwise_count(masks).astype(np.int64)
+    known = [c for c in (*PRINT, *FINE, "root") if c in nodes.columns]
+    kinds = {"node": "<i8"} | {c: {"many": "<u4", "root": "<i8"}.get(c, "<u8") for c in known}
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, PACKED):
-                node, one, two, parity, many = (batch.column(k).slice(at, PACKED).to_numpy() for k in range(5))
+                about = {c: batch.column(c).slice(at, PACKED).to_numpy() for c in kinds}
                 for part in range(PARTS):
-                    word = ((one, two)[part // 2].view(np.uint64) >> _U(32 * (part % 2))) & _U(0xFFFFFFFF)
+                    word = (about[("one", "two")[part // 2]].view(np.uint64) >> _U(32 * (part % 2))) & _U(0xFFFFFFFF)
                     key = ((word >> _U(32 - lead))[:, None] ^ masks[None, :]).ravel().astype(np.int64)
                     order = np.argsort(key, kind="stable")
                     edge, row = np.searchsorted(key[order], np.arange((1 << lead) + 1)), order // len(masks)
                     left = (half - spent)[order % len(masks)].astype(np.uint8)
                     used = np.flatnonzero(np.diff(edge)).tolist()
-                    packs = [[pa.array([x[edge[k] : edge[k + 1]].tobytes() for k in used], pa.binary())] for x in (node[row], one[row], two[row], parity[row], many[row].astype("<u4"), left)]
+                    columns = *(about[c][row].astype(kind) if c == "many" else about[c][row] for c, kind in kinds.items()), left
+                    packs = [pa.array([x[edge[k] : edge[k + 1]].tobytes() for k in used], pa.binary()) for x in columns]
                     keys = pa.array([(part << lead) + k for k in used], pa.int32())
-                    yield pa.RecordBatch.from_arrays([keys, *(x for x, in packs)], ["key", "node", *PRINT, "left"])
+                    yield pa.RecordBatch.from_arrays([keys, *packs], ["key", *kinds, "left"])
 
     def meet(key, table):
         joined = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-        node, one, two, parity = joined("node", "<i8"), *(joined(c, "<u8") for c in PRINT[:3])
-        many = joined("many", "<u4").astype(np.int64)
+        about = {c: joined(c, kind) for c, kind in kinds.items()}
+        node, one, two, parity = (about[c] for c in ("node", *PRINT[:3]))
+        many, fine, root = about["many"].astype(np.int64), [about[c] for c in FINE if c in about], about.get("root")
         part = key[0].as_py() >> lead
         word = ((one, two)[part // 2] >> _U(32 * (part % 2))) & _U((1 << 32 - lead) - 1)
+
+        def least(pairs):
+            pairs = np.unique(pairs, axis=0)
+            if not own:
+                return pairs
+            pairs = pairs[np.lexsort((node[pairs[:, 0]], pairs[:, 1]))]
+            return pairs[np.append(True, pairs[1:, 1] != pairs[:-1, 1])[: len(pairs)]]
+
         found = [np.zeros((0, 2), np.int64)]
         for who, size in colliding(word, joined("left", np.uint8).astype(np.int64), 32 - lead, at_once):
             pairs = stars(who, size, node, one, two, far)
+            if root is not None:
+                x, y = root[pairs.T]
+                pairs = pairs[(x != y) | (x == 0)]
             x, y = pairs.T
-            found.append(pairs[similar(many[x], many[y], np.bitwise_count(parity[x] ^ parity[y]), similarity)])
+            found.append(pairs[similar(many[x], many[y], differing(parity, fine, x, y), similarity)])
             if len(found) > 64:
-                found = [np.unique(np.concatenate(found), axis=0)]
-        pairs = np.unique(np.concatenate(found), axis=0)
+                found = [least(np.concatenate(found))]
+        pairs = least(np.concatenate(found))
         return pa.table({"a": node[pairs[:, 0]], "b": node[pairs[:, 1]]})
 
-    packed = nodes.select("node", *PRINT).mapInArrow(run, "key int, node binary, " + ", ".join(f"{c} binary" for c in (*PRINT, "left")))
-    return packed.groupBy("key").applyInArrow(meet, "a long, b long").where("a <> b").distinct()
+    packed = nodes.select(*kinds).mapInArrow(run, "key int, " + ", ".join(f"{c} binary" for c in (*kinds, "left")))
+    met = packed.groupBy("key").applyInArrow(meet, "a long, b long").where("a <> b")
+    return met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if own else met.distinct()
 
 
 def texts_of(df: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
@@ -248,21 +288,21 @@ def verified(near: DataFrame, texts: DataFrame, size: int, similarity: float) ->
     return near.select(bucket, "a", "b").groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(run, "a long, b long")
 
 
+def true_links(df: DataFrame, text: str, near: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Those of the links (a, b) whose texts, found in df, are as similar."""
+    near = stored(near, "copies-near")
+    wanted = stored(near.select(F.col("a").alias("node")).distinct().unionAll(near.select(F.col("b").alias("node")).distinct()).distinct(), "copies-wanted")
+    return verified(near, stored(texts_of(df, text, wanted), "copies-texts"), size, similarity)
+
+
 def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """id, spelling, node and root (the class) of every row."""
     prints = stored(fingerprints(df, id_col, text, size), "copies-prints")
-    nodes = stored(prints.groupBy("node").agg(*(F.first(c).alias(c) for c in PRINT)), "copies-nodes")
-    near = stored(candidates(nodes, similarity=similarity), "copies-near")
-    wanted = stored(near.select(F.col("a").alias("node")).distinct().unionAll(near.select(F.col("b").alias("node")).distinct()).distinct(), "copies-wanted")
-    texts = stored(texts_of(df, text, wanted), "copies-texts")
-    # each node against its least candidate first: of what this joins, no further link has to be verified
-    first = near.groupBy("b").agg(F.min("a").alias("a"))
-    one = stored(verified(first, texts, size, similarity), "copies-first")
-    root = components(one)
-    side = lambda x, y: root.select(F.col("node").alias(x), F.col("root").alias(y))
-    apart = near.join(first, ["a", "b"], "left_anti").join(side("a", "p"), "a", "left").join(side("b", "q"), "b", "left")
-    apart = stored(apart.where(F.coalesce("p", "a") != F.coalesce("q", "b")).select("a", "b"), "copies-apart")
-    links = one.unionByName(stored(verified(apart, texts, size, similarity), "copies-links"))
+    nodes = stored(prints.groupBy("node").agg(*(F.first(c).alias(c) for c in (*PRINT, *FINE))), "copies-nodes")
+    one = stored(true_links(df, text, candidates(nodes, similarity=similarity, own=True), size, similarity), "copies-first")
+    # of what this joins, no further link is made
+    told = stored(nodes.join(components(one), "node", "left").fillna(0, ["root"]), "copies-told")
+    links = one.unionByName(stored(true_links(df, text, candidates(told, similarity=similarity), size, similarity), "copies-links"))
     return prints.join(components(links), "node", "left").select("id", "spelling", "node", F.coalesce("root", "node").alias("root"))
 
 

@@ -694,6 +694,42 @@ def test_near_copies_that_cannot_be_similar_are_no_links(spark):
     assert found < every and {x for x in every if told[x] >= 0.8} <= found
 
 
+def test_near_copies_of_one_class_make_few_links(spark, tables, monkeypatch):
+    r, made, keep = random.Random(12), [], near_copies.stored
+    base = [f"w{r.randrange(10**6)}" for _ in range(200)]
+    docs = []
+    for _ in range(150):
+        words = list(base)
+        words[r.randrange(200)] = f"v{r.randrange(10**6)}"
+        docs.append(" ".join(words))
+
+    def noted(df, name):
+        out = keep(df, name)
+        made.append(out.count() if name == "copies-near" else 0)
+        return out
+
+    monkeypatch.setattr(near_copies, "stored", noted)
+    rows = near_copies.near_copies(spark.read.parquet(tables(docs) + "/documents.parquet")).collect()
+    assert len({x.root for x in rows}) == 1 and sum(made) <= 2 * len(docs)  # not with the group's square
+
+
+def test_near_copies_parities_of_quarters():
+    r = random.Random(13)
+    base = [f"w{r.randrange(10**6)}" for _ in range(150)]
+    docs = [" ".join(f"v{r.randrange(10**6)}" if r.random() < share else w for w in base) for share in (0, 0.005, 0.01, 0.03, 0.06, 0.09) for _ in range(8)] + ["", "a"]
+    raw = [x.encode() for x in docs]
+    node, one, two, parity, many, *fine = near_copies.fine_prints(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
+    sets = shingle_sets(docs)
+    a, b = np.array(list(itertools.combinations(range(len(docs) - 2), 2))).T
+    like = np.array([len(sets[x] & sets[y]) / len(sets[x] | sets[y]) for x, y in zip(a, b, strict=True)])
+    apart = np.array([len(sets[x] ^ sets[y]) for x, y in zip(a, b, strict=True)])
+    told = [near_copies.differing(parity, f, a, b).astype(np.int64) for f in ([], fine)]
+    assert (told[0] <= told[1]).all() and (told[1] <= apart).all()
+    n = many.astype(np.int64)
+    few, more = (near_copies.similar(n[a], n[b], x, 0.8) for x in reversed(told))
+    assert few[like >= 0.8].all() and few[like < 0.6].mean() < 0.2 < 0.5 < more[like < 0.6].mean()
+
+
 def test_near_copies_in_bounded_memory():
     rng = np.random.default_rng(5)
     center = rng.integers(0, 2**26, dtype=np.uint64)

@@ -436,19 +436,25 @@ def shared_landmarks(scan: Scan, shards: int, classes: int) -> DataFrame:
     return met.select("class", F.lit(None).cast("long").alias("node"), F.lit(None).cast("binary").alias("frames"), "shard", *SETS)
 
 
-def pairings(one: tuple, other: tuple, total: int, sizes: np.ndarray, chosen: Callable | None = None):
-    """Nodes a of one and b > a of other that share a key, and the offset, some at a time: each place of b against a's first place,
-    if they overlap enough. Both are key and node (key * total + node, in order), node, and place; chosen tells which may be a."""
-    code, who, place = one
+def heads(one: tuple, other: tuple, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first place of each key and node a of one that any node b > a of other has a vote for, where these begin in other, and how many they are.
+
+    Both are key and node (key * total + node, in order), node, and place.
+    """
+    code = one[0]
     first = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
-    if chosen:
-        first = first[chosen(who[first])]
     low, high = (np.searchsorted(other[0], x) for x in (code[first] + 1, (code[first] // total + 1) * total))
-    heads = np.flatnonzero(high > low)
-    first, low, many = first[heads], low[heads], (high - low)[heads]
-    turn = np.cumsum(many) // PAIRS
+    some = high > low
+    return first[some].astype(np.int32), low[some].astype(np.int32), (high - low)[some].astype(np.int32)
+
+
+def pairings(one: tuple, other: tuple, heads: tuple[np.ndarray, np.ndarray, np.ndarray], sizes: np.ndarray):
+    """Nodes a of one and b > a of other that share a key, and the offset, some at a time: each place of b against a's first place,
+    if they overlap enough."""
+    (_, who, place), (first, low, many) = one, heads
+    turn = np.cumsum(many, dtype=np.int64) // PAIRS
     for own in np.split(np.arange(len(first)), np.flatnonzero(turn[1:] != turn[:-1]) + 1):
-        m = many[own]
+        m = many[own].astype(np.int64)
         y = np.repeat(low[own] - np.cumsum(m) + m, m) + np.arange(m.sum())
         x = np.repeat(first[own], m)
         a, b, p, q = who[x], other[1][y], place[x], other[2][y]
@@ -540,18 +546,24 @@ class Sides:
         """a, b and offset of pairs to verify: the offset with most votes, if these are enough. About most votes are summed at once."""
         total, bits = len(self.nodes), int(self.size.max(initial=0)).bit_length() + 1
         half = 1 << (bits - 1)
-        # each node is tried against those behind it; the nodes take turns
-        many = 0
-        for one, other in self.sets:
-            counts = [np.bincount(x[0] // total) for x in (one, other)]
-            n = min(map(len, counts))
-            many += int((counts[0][:n] * counts[1][:n]).sum()) // 2
-        turns = max(1, min(total, -(-many // most)))
-        for turn in range(turns):
+        # each node is tried against those behind it; the nodes take turns, by the votes that they really have: a key that stands
+        # often in a node has many places there, but only its first is tried
+        tries, many = [heads(one, other, total) for one, other in self.sets], np.zeros(total, np.int64)
+        for (one, _), (first, _, n) in zip(self.sets, tries, strict=True):
+            np.add.at(many, one[1][first], n)
+        turn = (np.cumsum(many) - many) // most
+        turns, edges = np.unique(turn[many > 0]), []
+        for k, ((one, _), (first, *_)) in enumerate(zip(self.sets, tries, strict=True)):
+            when = turn[one[1][first]]
+            order = np.argsort(when, kind="stable")
+            tries[k] = tuple(x[order] for x in tries[k])
+            edges.append(np.searchsorted(when[order], np.append(turns, turns[-1:] + 1)))
+        for t in range(len(turns)):
             held = [np.zeros(0, np.int64)]
-            for one, other in self.sets:
-                for a, b, offset in pairings(one, other, total, self.size, (lambda x, t=turn: x % turns == t) if turns > 1 else None):
-                    held.append((a * total + b << bits) + (offset + half))
+            for (one, other), found, edge in zip(self.sets, tries, edges, strict=True):
+                if edge[t] < edge[t + 1]:
+                    for a, b, offset in pairings(one, other, tuple(x[edge[t] : edge[t + 1]] for x in found), self.size):
+                        held.append((a * total + b << bits) + (offset + half))
             code = np.concatenate(held)
             del held
             code.sort()

@@ -596,6 +596,21 @@ def test_audio_counts_every_vote(spark):
     assert {x.node: x.n_links for x in each.collect()} == dict(Counter(itertools.chain(*want)))
 
 
+def test_audio_turns_follow_the_votes():
+    """A key that stands often in each node has many places, but only its first one of a node is tried."""
+    r = np.random.default_rng(9)
+    total, places, most = 50, 40, 5_000
+    side = object.__new__(audio_match.Sides)
+    side.nodes, side.size, side.few = np.arange(total), np.full(total, 1_000), np.zeros(total, bool)
+    marks = np.repeat(np.arange(2 * total), places), np.tile(np.repeat(np.arange(total, dtype=np.int32), places), 2), np.sort(r.integers(0, 100, (2 * total, places)).astype(np.int32)).ravel()
+    side.sets = [(marks, marks)]
+    votes = 2 * places * total * (total - 1) // 2
+    turns, once = list(side.candidates(most)), list(side.candidates(10**9))
+    pairs = lambda found: sorted(zip(*(np.concatenate(x).tolist() for x in zip(*found, strict=True)), strict=True))
+    assert len(once) == 1 and pairs(turns) == pairs(once) and len({x[:2] for x in pairs(once)}) > 1_000
+    assert 1 < len(turns) <= votes // most + 1 < total
+
+
 def test_op8_null_ids_and_clashing_columns(spark, tables):
     words = lambda n, k: " ".join(f"w{(i * 7919 + k * 104729) % 1009}x{i}" for i in range(n))
     docs = [(None, words(60, 1)), (5, words(60, 1)), (None, words(70, 2)), (3, words(60, 3)), (3, words(60, 3)), (4, None), (None, "")]

@@ -6,15 +6,17 @@ shuffle) and a join that Spark may split where a node is hot. Rounds are reliabl
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import checkpoint
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of the edges (a, b); the root is the least node it reaches."""
-    now = checkpoint(
+def components(edges: DataFrame, held: Callable[[DataFrame], DataFrame] = checkpoint) -> DataFrame:
+    """(node, root) for every node of the edges (a, b); the root is the least node it reaches. held: keeps what a round makes."""
+    now = held(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
     seen = None
@@ -30,4 +32,4 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        now = checkpoint(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        now = held(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())

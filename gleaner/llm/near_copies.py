@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import LOWER, SOLID, Words, grams, mix, parts, sieve, slices, stored, text_buffer
+from gleaner.llm.common import LOWER, SOLID, Words, checkpoint, grams, mix, parts, sieve, slices, stored, text_buffer
 from gleaner.llm.graph import components
 from gleaner.llm.simhash import flips
 
@@ -36,6 +36,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 PARTS, PART_RADIUS, FAR = 4, 4, 28
 #: Nodes packed at once, variants made at once, and nodes aimed at for each leading value.
 PACKED, AT_ONCE, AIM = 16_384, 1_000_000, 20_000
+#: Shingles whose bits are counted at once, and rows of documents for each file of what is kept of nodes and links.
+COUNTED, HELD = 65_536, 10_000
 #: What is known of a node's shingles: both halves of the fingerprint, their parities and how many there are.
 PRINT = ("one", "two", "parity", "many")
 #: The parities of 64 shares of each quarter of the shingles but the last; with it they make parity.
@@ -58,6 +60,19 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return out, many
 
 
+def majorities(hashes: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The bits set in over half of each document's hashes (many of them). Runs of documents are counted in turn: the sums
+    take five bytes for each bit of a run."""
+    out, edge = np.zeros(len(many), np.uint64), np.append(0, np.cumsum(many))
+    for i, j in slices(edge, COUNTED):
+        some = i + np.flatnonzero(many[i:j])
+        if len(some):
+            bits = np.unpackbits(hashes[edge[i] : edge[j]].astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64)
+            counts = np.add.reduceat(bits, edge[some] - edge[i], axis=0, dtype=np.int32)
+            out[some] = np.packbits(counts * 2 > many[some, None], axis=1, bitorder="little").view("<u8").ravel()
+    return out
+
+
 def wide_prints(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, ...]:
     """Node (a hash of the words), the two halves of the fingerprint, the parities of 64 shares of the different shingles
     and how many of these there are, of every document."""
@@ -70,15 +85,7 @@ def fine_prints(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> t
     raw = words.hashes.tobytes()
     node = [xxhash.xxh3_64_intdigest(raw[8 * a : 8 * b]) for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)]
     hashes, many = shingles(words, size)
-    some, halves = np.flatnonzero(many), []
-    begin = (np.cumsum(many) - many)[some]
-    for turn in (0, 1):
-        half = np.zeros(len(many), np.uint64)
-        if len(some):
-            bits = np.unpackbits(mix(hashes + _U(turn)).astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64)
-            counts = np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
-            half[some] = np.packbits(counts * 2 > many[some, None], axis=1, bitorder="little").view("<u8").ravel()
-        halves.append(half)
+    some, halves = np.flatnonzero(many), [majorities(mix(hashes + _U(turn)), many) for turn in (0, 1)]
     doc = np.repeat(np.arange(len(many)), many)
     order = np.lexsort((hashes, doc))
     hashes, doc = hashes[order], doc[order]
@@ -288,22 +295,33 @@ def verified(near: DataFrame, texts: DataFrame, size: int, similarity: float) ->
     return near.select(bucket, "a", "b").groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(run, "a long, b long")
 
 
-def true_links(df: DataFrame, text: str, near: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Those of the links (a, b) whose texts, found in df, are as similar."""
-    near = stored(near, "copies-near")
-    wanted = stored(near.select(F.col("a").alias("node")).distinct().unionAll(near.select(F.col("b").alias("node")).distinct()).distinct(), "copies-wanted")
-    return verified(near, stored(texts_of(df, text, wanted), "copies-texts"), size, similarity)
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """In no more parts than one for HELD rows of documents, or four a core: a small table is not strewn over a file for each
+    shuffle partition. Each file takes buffers of the executor, and processes that set its mode on a local disk."""
+    return df.coalesce(max(4 * df.sparkSession.sparkContext.defaultParallelism, ceil(rows / HELD)))
+
+
+def true_links(df: DataFrame, text: str, near: DataFrame, size: int, similarity: float, rows: int) -> DataFrame:
+    """Those of the links (a, b) whose texts, found in df, are as similar. rows: how many df has."""
+    near = stored(few(near, rows), "copies-near")
+    wanted = near.select(F.col("a").alias("node")).distinct().unionAll(near.select(F.col("b").alias("node")).distinct()).distinct()
+    wanted = stored(few(wanted, rows), "copies-wanted")
+    return verified(near, stored(few(texts_of(df, text, wanted), rows), "copies-texts"), size, similarity)
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """id, spelling, node and root (the class) of every row."""
     prints = stored(fingerprints(df, id_col, text, size), "copies-prints")
-    nodes = stored(prints.groupBy("node").agg(*(F.first(c).alias(c) for c in (*PRINT, *FINE))), "copies-nodes")
-    one = stored(true_links(df, text, candidates(nodes, similarity=similarity, own=True), size, similarity), "copies-first")
+    rows = prints.count()
+    held = lambda now: checkpoint(few(now, rows))
+    nodes = stored(few(prints.groupBy("node").agg(*(F.first(c).alias(c) for c in (*PRINT, *FINE))), rows), "copies-nodes")
+    one = components(true_links(df, text, candidates(nodes, similarity=similarity, own=True), size, similarity, rows), held)
     # of what this joins, no further link is made
-    told = stored(nodes.join(components(one), "node", "left").fillna(0, ["root"]), "copies-told")
-    links = one.unionByName(stored(true_links(df, text, candidates(told, similarity=similarity), size, similarity), "copies-links"))
-    return prints.join(components(links), "node", "left").select("id", "spelling", "node", F.coalesce("root", "node").alias("root"))
+    told = stored(few(nodes.join(one, "node", "left").fillna(0, ["root"]), rows), "copies-told")
+    links = true_links(df, text, candidates(told, similarity=similarity), size, similarity, rows)
+    # a class of the first round is known by its root's links
+    roots = components(one.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links), held)
+    return prints.join(roots, "node", "left").select("id", "spelling", "node", F.coalesce("root", "node").alias("root"))
 
 
 def heads(df: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -314,7 +332,7 @@ def heads(df: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> D
     rows = near_copies(df, id_col, text, **how)
     order = F.struct(F.col("id").isNull(), "id", "spelling")
     least = rows.groupBy("root").agg(F.min(order).alias("m"), F.count("*").alias("n")).select(F.col("m.id").alias("_id"), F.col("m.spelling").alias("_spelling"), "root")
-    kept = stored(least, "copies-heads")
+    kept = stored(few(least, df.count()), "copies-heads")
     own = (df[id_col].eqNullSafe(kept["_id"])) & (spelling(text) == kept["_spelling"])
     found = df.join(kept, own, "left_semi")
     again = rows.join(kept, rows["id"].eqNullSafe(kept["_id"]) & (rows["spelling"] == kept["_spelling"]), "left_semi").groupBy("id", "spelling").count().where("count > 1")

@@ -2,8 +2,10 @@
 
 import itertools
 import math
+import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -759,6 +761,38 @@ def test_near_copies_in_bounded_memory():
         assert got == want
 
 
+def test_near_copies_bits_are_counted_in_bounded_memory(monkeypatch):
+    rng = np.random.default_rng(14)
+    docs = [" ".join(f"w{x}" for x in rng.integers(0, 5_000, n)).encode() for n in [*rng.integers(0, 600, 1_100), 70_000, 0, 3]]
+    data, offsets = np.frombuffer(b"".join(docs), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in docs])])
+    short = offsets[:1101]
+    tracemalloc.start()
+    near_copies.fine_prints(data[: short[-1]], short)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 70e6, most
+    found = near_copies.fine_prints(data, offsets)
+    monkeypatch.setattr(near_copies, "COUNTED", 1 << 40)  # all at once
+    assert all(np.array_equal(x, y) for x, y in zip(found, near_copies.fine_prints(data, offsets), strict=True))
+
+
+def test_near_copies_keep_few_files(spark, tables):
+    text = lambda k, n: " ".join(f"w{k}x{i + n * (i == 30)}" for i in range(60))
+    df = spark.read.parquet(tables([text(k, 99 * n) for k in range(30) for n in range(3)]) + "/documents.parquet")
+    at, held = spark.conf.get("spark.checkpoint.dir"), {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    files = lambda: {f"{d}/{x}" for d, _, names in os.walk(at.removeprefix("file:")) for x in names if x.startswith("part-")}
+    before, kept = files(), {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert near_copies.heads(df).count() == 30
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    made = Counter(os.path.dirname(x) for x in files() - before)
+    assert len(made) > 10 and max(made.values()) <= 4 * spark.sparkContext.defaultParallelism < 40, made
+
+
 def test_stars_take_all_that_is_near():
     rng = np.random.default_rng(6)
     one = rng.integers(0, 2**63, 4, dtype=np.uint64)[np.arange(40) % 4]

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 import public_tokenizers
 
-from gleaner.llm.common import documents, slices, text_buffer
+from gleaner.llm.common import documents, released, slices, text_buffer
 from gleaner.llm.pieces import Pieces
 
 WORD_BPE = "word_bpe_49k.json"
@@ -148,7 +148,7 @@ def bpe_encode(
                     arrays.append(pa.array([coder.decode(got[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, [*stays, *outputs])
 
-    return df.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(run, T.StructType(fields))
+    return df.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(released(run), T.StructType(fields))
 
 
 def bpe_decode(df: DataFrame, ids: str = "ids", path: str | None = None, decoded: str = "decoded") -> DataFrame:

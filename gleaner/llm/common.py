@@ -7,6 +7,7 @@ MB, so memory does not depend on how many rows or how long a batch is (one docum
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -102,6 +103,27 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Arrow's pool and the C library else hold it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run over a task's batches, and then give_back(): the worker stays for other tasks, next to the executor's heap."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def byte_class(*spans: tuple[int, int]) -> np.ndarray:
     """A table of 256 booleans that is true within the spans."""
     table = np.zeros(256, bool)

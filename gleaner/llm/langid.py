@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.llm.common import LOWER, documents, slices, text_buffer
+from gleaner.llm.common import LOWER, documents, released, slices, text_buffer
 
 #: Bounds of the labelled sample: documents and characters for each language.
 TRAIN_DOCS, TRAIN_CHARS = 60, 40_000
@@ -222,7 +222,7 @@ def identify(
                     schema.names,
                 )
 
-    return df.select(*(F.col(f"`{c}`") for c in stays)).mapInArrow(run, schema)
+    return df.select(*(F.col(f"`{c}`") for c in stays)).mapInArrow(released(run), schema)
 
 
 def remainder(modulus: int) -> F.Column:

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import LOWER, SOLID, Words, checkpoint, grams, mix, parts, sieve, slices, stored, text_buffer
+from gleaner.llm.common import LOWER, SOLID, Words, checkpoint, grams, mix, parts, released, sieve, slices, stored, text_buffer
 from gleaner.llm.graph import components
 from gleaner.llm.simhash import flips
 
@@ -129,7 +129,7 @@ def fingerprints(df: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
 
     kind = dict(df.dtypes)[id_col]
     return df.select(F.col(id_col).alias("id"), spelling(text).alias("spelling"), F.col(text).alias("text")).mapInArrow(
-        run, f"id {kind}, spelling long, node long, " + ", ".join(f"{c} long" for c in (*PRINT, *FINE))
+        released(run), f"id {kind}, spelling long, node long, " + ", ".join(f"{c} long" for c in (*PRINT, *FINE))
     )
 
 
@@ -245,7 +245,7 @@ def candidates(nodes: DataFrame, far: int = FAR, lead: int | None = None, at_onc
         pairs = least(np.concatenate(found))
         return pa.table({"a": node[pairs[:, 0]], "b": node[pairs[:, 1]]})
 
-    packed = nodes.select(*kinds).mapInArrow(run, "key int, " + ", ".join(f"{c} binary" for c in (*kinds, "left")))
+    packed = nodes.select(*kinds).mapInArrow(released(run), "key int, " + ", ".join(f"{c} binary" for c in (*kinds, "left")))
     met = packed.groupBy("key").applyInArrow(meet, "a long, b long").where("a <> b")
     return met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if own else met.distinct()
 
@@ -268,7 +268,7 @@ def texts_of(df: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(packed, pa.binary())], ["node", "packed"])
 
     # the other copies of a node go before the join
-    return df.select(text).mapInArrow(run, "node long, packed binary").dropDuplicates(["node"]).join(nodes, "node", "left_semi")
+    return df.select(text).mapInArrow(released(run), "node long, packed binary").dropDuplicates(["node"]).join(nodes, "node", "left_semi")
 
 
 def verified(near: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:

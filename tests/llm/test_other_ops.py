@@ -776,6 +776,22 @@ def test_near_copies_bits_are_counted_in_bounded_memory(monkeypatch):
     assert all(np.array_equal(x, y) for x, y in zip(found, near_copies.fine_prints(data, offsets), strict=True))
 
 
+def test_workers_give_back_memory():
+    from gleaner.llm.common import released
+
+    def held():
+        return sum(int(x) for x in re.findall(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())) / 1024
+
+    def run(batches):
+        kept = [(pa.array(["x" * 90] * 20_000), np.ones(10_000)) for _ in batches]
+        yield held()
+        del kept
+
+    before = held()
+    most = max(released(run)(range(100)))
+    assert most > before + 150 and held() < before + 60, (before, most, held())
+
+
 def test_near_copies_keep_few_files(spark, tables):
     text = lambda k, n: " ".join(f"w{k}x{i + n * (i == 30)}" for i in range(60))
     df = spark.read.parquet(tables([text(k, 99 * n) for k in range(30) for n in range(3)]) + "/documents.parquet")

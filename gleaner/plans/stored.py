@@ -112,7 +112,8 @@ def violations(spark: SparkSession, root: str) -> DataFrame:
         broken = lines(spark, root, name).where(bad)
         found.append(broken.select(F.lit(name).alias("check"), F.col("value").alias("key"), F.lit("invalid JSON").alias("violation")))
     held = {name: table(spark, root, name) for name in SCHEMAS}
-    found += [validate.duplicates(held[name], key) for name, key in IDS.items()]
+    # repeated ids of candidates, unique within their source only, are among candidate_violations
+    found += [validate.duplicates(held[name], key) for name, key in IDS.items() if name != "candidate_case_files"]
     found += [validate.orphans(held[name], "unit_ref", held["units"], "unit_id") for name in ("annotations", "term_occurrences", "feature_records")]
     records = lines(spark, root, "feature_records").select("source_id", F.expr("try_parse_json(value)").alias("record"))
     found += [

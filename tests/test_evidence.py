@@ -127,6 +127,25 @@ def test_validators_green_and_tampered(run, spark):
         V.require_clean(V.duplicates(run.units.unionAll(run.units.limit(1)), "unit_id"))
 
 
+def test_candidate_ids_are_unique_within_their_source(spark):
+    from gleaner.operators.annotate import rule_votes
+    from gleaner.plans.queries import RULES
+
+    text, shared = "they came with these", "cand_58d3973b"  # the same eight digits for both sources
+    rows = [(s, 0, 20, text, f"unit_{s}_000000", "00:00:00,000", 0, 0) for s in ("doc15733", "doc78380", "doc9")]
+    units = spark.createDataFrame(rows, "source_id string, start int, end int, text string, unit_id string, tc_start string, sentences_before int, sentences_after int")
+    votes = rule_votes(units, RULES)
+    found = C.ready(C.assemble(votes)).cache()
+    assert found.where(F.col("candidate_id") == shared).count() == 2
+    said = lambda rows: sorted(r.violation.split(",")[0].split(":")[0] for r in V.candidate_violations(rows, votes, units).collect())
+    assert said(found) == []
+    assert said(found.unionAll(found.where("source_id = 'doc15733'"))) == ["duplicate candidate_id"]
+    taken = found.withColumn("candidate_id", F.when(F.col("source_id") == "doc9", shared).otherwise(F.col("candidate_id")))
+    assert said(taken) == ["does not re-derive"]
+    moved = found.where("source_id = 'doc15733'").withColumn("source_id", F.lit("doc9"))
+    assert said(found.unionAll(moved)) == ["vote_ref does not resolve"]
+
+
 def test_lockfile_hash(run):
     import hashlib
 

@@ -188,8 +188,14 @@ def confusion(pairs: DataFrame) -> DataFrame:
 
 
 def by_bucket(votes: DataFrame, candidates: DataFrame) -> DataFrame:
-    """bucket, votes, confirmed and confirm_rate of votes on candidates (no controls)."""
-    kept = votes.where(~F.col("is_control")).join(candidates.select(F.col("candidate_id").alias("candidate_ref"), "bucket"), "candidate_ref")
+    """bucket, votes, confirmed and confirm_rate of votes on candidates (no controls).
+
+    An id is unique within its source only, so votes are joined by source and id, and by whatever else they carry of what ids are
+    made of (start, end, rule_id).
+    """
+    keys = ["source_id", "candidate_ref", *(c for c in ("start", "end", "rule_id") if c in votes.columns)]
+    about = candidates.withColumnRenamed("candidate_id", "candidate_ref").select(*keys, "bucket")
+    kept = votes.where(~F.col("is_control")).select(*keys, "verdict").join(about, keys)
     out = kept.groupBy("bucket").agg(F.count("*").alias("votes"), F.count_if(F.col("verdict") == "confirm").alias("confirmed"))
     return out.withColumn("confirm_rate", rounded(F.try_divide(F.col("confirmed").cast("double"), F.col("votes")), 6))
 

@@ -393,7 +393,9 @@ def confirm_by_bucket(spark, sf_dir):
     """Votes by the candidates' places, every fifth a control, joined to their buckets."""
     found = candidates_of(spark, sf_dir)
     verdict = F.when(F.col("start") % 3 == 0, "confirm").when(F.col("start") % 3 == 1, "reject").otherwise("uncertain")
-    cast = found.select(F.col("candidate_id").alias("candidate_ref"), verdict.alias("verdict"), (F.col("start") % 5 == 0).alias("is_control"))
+    cast = found.select(
+        "source_id", "start", "end", "rule_id", F.col("candidate_id").alias("candidate_ref"), verdict.alias("verdict"), (F.col("start") % 5 == 0).alias("is_control")
+    )
     return votes.by_bucket(cast, found)
 
 

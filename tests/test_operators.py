@@ -248,6 +248,20 @@ def test_summaries(spark):
     assert models.select(votes.undated(F.col("m"))).collect()[1][0] == "small-model"
 
 
+def test_a_vote_counts_once_in_its_own_candidates_bucket(spark):
+    held = spark.createDataFrame(
+        [("a", "cand_1", 0, "high"), ("b", "cand_1", 0, "low"), ("c", "cand_2", 0, "low"), ("c", "cand_2", 9, "medium")],
+        "source_id string, candidate_id string, start int, bucket string",
+    )
+    rows = [("a", "cand_1", 0, "confirm", False), ("a", "cand_1", 0, "reject", False), ("b", "cand_1", 0, "reject", False), ("b", "cand_1", 0, "confirm", True)]
+    schema = "source_id string, candidate_ref string, start int, verdict string, is_control boolean"
+    given = spark.createDataFrame([*rows, ("c", "cand_2", 9, "confirm", False)], schema)
+    # as vote records have it: source and reference
+    counted = lambda df: {r.bucket: (r.votes, r.confirmed, r.confirm_rate) for r in votes.by_bucket(df, held).collect()}
+    assert counted(given.where("source_id <> 'c'").drop("start")) == {"high": (2, 1, 0.5), "low": (1, 0, 0.0)}
+    assert counted(given) == {"high": (2, 1, 0.5), "low": (1, 0, 0.0), "medium": (1, 1, 1.0)}
+
+
 def rounded_plain(x):
     return math.floor(x * 1e6 + 0.5) / 1e6
 
